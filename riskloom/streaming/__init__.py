@@ -1,0 +1,6 @@
+"""Streaming inputs.
+
+No stream operator exists here: fitted steps (fills, bins, one-hot, recipes) transform
+by projection alone, so their ``transform`` takes a streaming DataFrame as it is. Fit on
+a table, then transform the stream.
+"""
