@@ -9,7 +9,7 @@ points are merged before the search, so that one hot point costs one row.
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 import numpy as np
@@ -187,13 +187,12 @@ def nearest(queries: DataFrame, candidates: DataFrame, k: int = 1, block: int =
     pts = _matrix(sample.select("x").limit(2 * SAMPLE).toPandas()["x"])
     tree = _build(pts, max(1, min(4096, total // block)))
 
-    def place(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for f in frames:
-            if len(f):
-                yield f.assign(box=tree.locate(_matrix(f["x"])).astype("int32"))
+    @F.pandas_udf("int")
+    def box_of(x: pd.Series) -> pd.Series:
+        return pd.Series(tree.locate(_matrix(x)))
 
-    cands = cut(cands.mapInPandas(place, "cid bigint, x array<double>, box int"))
-    here = cut(points.select("qid", "x").mapInPandas(place, "qid bigint, x array<double>, box int"))
+    cands = cut(cands.withColumn("box", box_of("x")))
+    here = cut(points.select("qid", "x", box_of("x").alias("box")))
     dims = pts.shape[1]
     extent = cands.groupBy("box").agg(
         F.array(*[F.min(F.element_at("x", j + 1)) for j in range(dims)]).alias("lo"),
@@ -208,23 +207,22 @@ def nearest(queries: DataFrame, candidates: DataFrame, k: int = 1, block: int =
         bound = first.groupBy("qid").agg(F.count(F.lit(1)).alias("n"), F.max("dist").alias("dist"))
         bound = bound.select("qid", F.when(F.col("n") >= k, F.col("dist")).alias("limit"))
 
-        def reach(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            for f in frames:
-                step = max(1, 2_000_000 // (len(box_ids) * dims))
-                for s in range(0, len(f), step):
-                    part = f.iloc[s : s + step]
-                    x = _matrix(part["x"])
-                    gap = np.maximum(0.0, np.maximum(lo[None] - x[:, None], x[:, None] - hi[None]))
-                    d = (gap * gap).sum(axis=2)
-                    limit = part["limit"].astype("float64").fillna(np.inf).to_numpy()
-                    # rounding may hide a difference of one unit in the last place
-                    near = (d <= limit[:, None] + 2 * 10.0**-DIGITS) & (box_ids[None] != part["box"].to_numpy()[:, None])
-                    r, b = np.nonzero(near)
-                    yield pd.DataFrame(
-                        {"qid": part["qid"].to_numpy()[r], "x": list(x[r]), "box": box_ids[b].astype("int32")}
-                    )
-
-        away = here.join(bound, "qid", "left").mapInPandas(reach, "qid bigint, x array<double>, box int")
+        @F.pandas_udf("array<int>")
+        def boxes_near(x: pd.Series, own: pd.Series, limit: pd.Series) -> pd.Series:
+            # rounding may hide a difference of one unit in the last place
+            reach = limit.astype("float64").fillna(np.inf).to_numpy() + 2 * 10.0**-DIGITS
+            pts, mine, out = _matrix(x), own.to_numpy(), []
+            step = max(1, 2_000_000 // (len(box_ids) * dims))
+            for s in range(0, len(pts), step):
+                at = pts[s : s + step, None]
+                gap = np.maximum(0.0, np.maximum(lo[None] - at, at - hi[None]))
+                near = (gap * gap).sum(axis=2) <= reach[s : s + step, None]
+                near &= box_ids[None] != mine[s : s + step, None]
+                out += [box_ids[row] for row in near]
+            return pd.Series(out)
+
+        away = here.join(bound, "qid", "left").withColumn("boxes", boxes_near("x", "box", "limit"))
+        away = away.select("qid", "x", F.explode("boxes").alias("box"))
         away = cut(away)
         second = _box_search(away, cands, k, block, tree.leaves)
         first = _top_k(first.select("qid", "cid", "dist").unionByName(second), k)

@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 
 from riskloom.functions import scalars as S
 from riskloom.operators.clean import mode_table
-from riskloom.operators.quantile import exact_quantiles
+from riskloom.operators.quantile import exact_quantiles, quantiles_and_moments
 from riskloom.roles import quoted
 
 _QUARTILES = [0.25, 0.5, 0.75]
@@ -51,30 +51,14 @@ def null_crosstab(df: DataFrame) -> DataFrame:
 def describe(df: DataFrame, cols: Sequence[str] | None = None, **limits: int) -> DataFrame:
     """count, mean, sample deviation, minimum, quartiles and maximum per numeric column."""
     cols = list(cols if cols is not None else numeric_columns(df))
-    q = exact_quantiles(df, cols, _QUARTILES, **limits)
-    aggs = []
-    for i, c in enumerate(cols):
-        x = F.col(quoted(c)).cast("double")
-        aggs += [
-            F.count(x).alias(f"n{i}"),
-            F.avg(x).alias(f"m{i}"),
-            F.stddev_samp(x).alias(f"s{i}"),
-            F.min(x).alias(f"lo{i}"),
-            F.max(x).alias(f"hi{i}"),
-        ]
-    cells = [
-        F.struct(
-            F.lit(c).alias("column"),
-            F.col(f"n{i}").alias("count"),
-            F.col(f"m{i}").alias("mean"),
-            F.col(f"s{i}").alias("std"),
-            F.col(f"lo{i}").alias("min"),
-            *[F.lit(q[c][p]).cast("double").alias(n) for p, n in zip(_QUARTILES, ("p25", "median", "p75"))],
-            F.col(f"hi{i}").alias("max"),
-        )
-        for i, c in enumerate(cols)
+    q, moments = quantiles_and_moments(df, cols, _QUARTILES, **limits)
+    rows = [
+        (c, m["count"], m["mean"], m["std"], m["min"], q[c][0.25], q[c][0.5], q[c][0.75], m["max"])
+        for c, m in moments.items()
     ]
-    return df.agg(*aggs).select(F.explode(F.array(*cells)).alias("e")).select("e.*")
+    schema = "column string, count bigint, mean double, std double, min double, p25 double, median double, p75 double, max double"
+    # one row per column
+    return df.sparkSession.createDataFrame(rows, schema)
 
 
 def profile(df: DataFrame, digits: int | None = None, with_missing: bool = True, **limits: int) -> DataFrame:
@@ -204,13 +188,8 @@ def plot_tables(
 
 def scalar_summary(df: DataFrame, col: str, prob: float = 0.99, **limits: int) -> DataFrame:
     """Row count, mean, median, a quantile, minimum and maximum of one column."""
-    q = exact_quantiles(df, [col], [0.5, prob], **limits)[col]
-    x = F.col(quoted(col)).cast("double")
-    return df.agg(
-        F.count(F.lit(1)).alias("rows"),
-        F.avg(x).alias("mean"),
-        F.lit(q[0.5]).cast("double").alias("median"),
-        F.lit(q[prob]).cast("double").alias("quantile"),
-        F.min(x).alias("min"),
-        F.max(x).alias("max"),
-    )
+    q, moments = quantiles_and_moments(df, [col], [0.5, prob], **limits)
+    m = moments[col]
+    row = (df.count(), m["mean"], q[col][0.5], q[col][prob], m["min"], m["max"])
+    schema = "rows bigint, mean double, median double, quantile double, min double, max double"
+    return df.sparkSession.createDataFrame([row], schema)

@@ -31,8 +31,21 @@ class _Bracket:
     k1: int
 
 
-def _num(name: str):
-    return F.col(quoted(name)).cast("double")
+# Expressions are written as SQL text here: many columns times many bounds would
+# otherwise cost a Python-to-JVM call for every operator.
+
+
+def _num(name: str) -> str:
+    return f"cast({quoted(name)} as double)"
+
+
+def _at(value: float) -> str:
+    return f"double('{value!r}')"
+
+
+def _within(b: "_Bracket | tuple[str, float, float]") -> str:
+    col, lo, hi = (b.col, b.lo, b.hi) if isinstance(b, _Bracket) else b
+    return f"{_num(col)} between {_at(lo)} and {_at(hi)}"
 
 
 def exact_quantiles(
@@ -45,20 +58,38 @@ def exact_quantiles(
 ) -> dict[str, dict[float, float | None]]:
     """``{column: {prob: value}}`` over non-null values, linear interpolation.
 
-    ``distinct_limit`` bounds the distinct values one task orders at the end.
+    ``distinct_limit`` bounds the distinct values one task orders at the end. The table
+    is read at least twice: cut the lineage first if it is costly to compute.
     """
+    return quantiles_and_moments(df, cols, probs, distinct_limit, accuracy, max_rounds)[0]
+
+
+def quantiles_and_moments(
+    df: DataFrame,
+    cols: Sequence[str],
+    probs: Sequence[float],
+    distinct_limit: int = 1 << 20,
+    accuracy: int = 10_000,
+    max_rounds: int = 12,
+) -> tuple[dict[str, dict[float, float | None]], dict[str, dict[str, float]]]:
+    """Exact quantiles, and count, mean, sample deviation, min and max from the same first pass."""
     cols = list(dict.fromkeys(cols))
     if not cols:
-        return {}
-    aggs = []
-    for i, c in enumerate(cols):
-        aggs += [
-            F.count(_num(c)).alias(f"n{i}"),
-            F.min(_num(c)).alias(f"lo{i}"),
-            F.max(_num(c)).alias(f"hi{i}"),
-            F.approx_count_distinct(_num(c)).alias(f"d{i}"),
-        ]
+        return {}, {}
+    parts = {
+        "n": "count({x})",
+        "mean": "avg({x})",
+        "std": "stddev_samp({x})",
+        "lo": "min({x})",
+        "hi": "max({x})",
+        "d": "approx_count_distinct({x})",
+    }
+    aggs = [F.expr(f"{text.format(x=_num(c))} as {k}{i}") for i, c in enumerate(cols) for k, text in parts.items()]
     first = df.agg(*aggs).first()
+    moments = {
+        c: {k: first[f"{p}{i}"] for k, p in (("count", "n"), ("mean", "mean"), ("std", "std"), ("min", "lo"), ("max", "hi"))}
+        for i, c in enumerate(cols)
+    }
 
     out: dict[str, dict[float, float | None]] = {c: {} for c in cols}
     wanted: list[tuple[str, float, float, _Bracket]] = []
@@ -82,7 +113,7 @@ def exact_quantiles(
     ranks = _pick(df, [b for *_, b in wanted])
     for (c, p, frac, _), (v0, v1) in zip(wanted, ranks):
         out[c][p] = v0 + (v1 - v0) * frac
-    return out
+    return out, moments
 
 
 def _narrow(df: DataFrame, boxes: list[_Bracket], accuracy: int) -> bool:
@@ -92,19 +123,18 @@ def _narrow(df: DataFrame, boxes: list[_Bracket], accuracy: int) -> bool:
     for i, b in enumerate(boxes):
         p0 = max(0.0, (b.k0 - b.below) / b.inside - slack)
         p1 = min(1.0, (b.k1 - b.below + 1) / b.inside + slack)
-        x = _num(b.col)
-        inside = F.when((x >= F.lit(b.lo)) & (x <= F.lit(b.hi)), x)
-        sketch.append(F.percentile_approx(inside, [p0, p1], accuracy).alias(f"q{i}"))
+        inside = f"case when {_within(b)} then {_num(b.col)} end"
+        sketch.append(F.expr(f"percentile_approx({inside}, array({_at(p0)}, {_at(p1)}), {accuracy}) as q{i}"))
     guess = df.agg(*sketch).first()
 
     counts = []
     for i, b in enumerate(boxes):
-        x, (lo, hi) = _num(b.col), guess[f"q{i}"]
-        within = (x >= F.lit(lo)) & (x <= F.lit(hi))
+        lo, hi = guess[f"q{i}"]
+        within = _within((b.col, lo, hi))
         counts += [
-            F.count_if(x < F.lit(lo)).alias(f"b{i}"),
-            F.count_if(within).alias(f"n{i}"),
-            F.approx_count_distinct(F.when(within, x)).alias(f"d{i}"),
+            F.expr(f"count_if({_num(b.col)} < {_at(lo)}) as b{i}"),
+            F.expr(f"count_if({within}) as n{i}"),
+            F.expr(f"approx_count_distinct(case when {within} then {_num(b.col)} end) as d{i}"),
         ]
     seen = df.agg(*counts).first()
 
@@ -136,23 +166,15 @@ def _pick(df: DataFrame, boxes: list[_Bracket]) -> list[tuple[float, float]]:
         for b in boxes:
             if b.lo < b.hi:
                 wanted.setdefault(shared[b.col, b.lo, b.hi], set()).update({b.k0 - b.below, b.k1 - b.below})
-        cells = []
-        for (c, lo, hi), t in shared.items():
-            x = _num(c)
-            hit = (x >= F.lit(lo)) & (x <= F.lit(hi))
-            cells.append(F.when(hit, F.struct(F.lit(t).alias("t"), x.alias("v"))))
-        values = (
-            df.select(F.explode(F.array_compact(F.array(*cells))).alias("e"))
-            .groupBy(F.col("e.t").alias("t"), F.col("e.v").alias("v"))
-            .count()
+        cells = ", ".join(
+            f"case when {_within(box)} then struct({t} as t, {_num(box[0])} as v) end" for box, t in shared.items()
         )
+        values = df.select(F.expr(f"explode(array_compact(array({cells}))) as e")).groupBy("e.t", "e.v").count()
         upto = Window.partitionBy("t").orderBy("v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
         ladder = values.withColumn("upto", F.sum("count").over(upto))
-        hits = None
-        for t, ks in wanted.items():
-            for k in ks:
-                one = (F.col("t") == t) & (F.col("upto") - F.col("count") <= k) & (F.col("upto") > k)
-                hits = one if hits is None else hits | one
+        hits = " or ".join(
+            f"(t = {t} and upto - count <= {k} and upto > {k})" for t, ks in wanted.items() for k in ks
+        )
         for r in ladder.where(hits).collect():  # at most two rows per wanted quantile
             for k in wanted[r["t"]]:
                 if r["upto"] - r["count"] <= k < r["upto"]:

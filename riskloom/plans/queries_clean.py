@@ -16,7 +16,7 @@ from riskloom.plans.registry import on_cohort, query
 from riskloom.roles import Roles, select_by_role as by_role, tag_roles
 from riskloom.session import fresh_path
 from riskloom.sources.csv import read_csv, write_csv
-from riskloom.sources.tables import cohort, table
+from riskloom.sources.tables import cohort, cohort_table, table
 
 COHORT_ROLES = Roles(
     id=["row_id"],
@@ -149,14 +149,14 @@ def _mode(col: str, where: str = "true") -> str:
 @query(on_cohort(f"""select row_id, coalesce(segment, {_mode('segment')}) as segment,
   coalesce(flag_a, {_mode('flag_a')}) as flag_a, coalesce(qty, {_mode('qty')}) as qty from cohort"""))
 def fill_mode(spark, folder):
-    part = cohort(spark, folder).select("row_id", "segment", "flag_a", "qty")
+    part = cohort_table(spark, folder, "row_id", "segment", "flag_a", "qty")
     return C.fit_mode(part, ["segment", "flag_a", "qty"]).transform(part)
 
 
 @query(on_cohort("""select row_id, round(coalesce(acctbal, (select median(acctbal) from cohort)), 6) as acctbal,
   coalesce(qty, (select median(qty) from cohort)) as qty from cohort"""))
 def fill_median(spark, folder):
-    part = cohort(spark, folder).select("row_id", "acctbal", "qty")
+    part = cohort_table(spark, folder, "row_id", "acctbal", "qty")
     return C.fit_median(part, ["acctbal", "qty"]).transform(part)
 
 
@@ -164,14 +164,15 @@ def fill_median(spark, folder):
   round(coalesce(acctbal, (select median(acctbal) from cohort where enrolled_yr <= 1999)), 6) as acctbal,
   coalesce(qty, (select median(qty) from cohort where enrolled_yr <= 1999)) as qty from cohort"""))
 def impute_train_median(spark, folder):
-    part = SP.time_split(cohort(spark, folder), "enrolled_yr", 1999).select("row_id", "role", "acctbal", "qty")
+    rows = cohort_table(spark, folder, "row_id", "enrolled_yr", "acctbal", "qty")
+    part = SP.time_split(rows, "enrolled_yr", 1999).drop("enrolled_yr")
     return C.fit_median(part.where("role = 'train'"), ["acctbal", "qty"]).transform(part)
 
 
 @query(on_cohort("""select row_id, round(coalesce(acctbal, (select avg(acctbal) from cohort)), 6) as acctbal,
   round(coalesce(qty, (select avg(qty) from cohort)), 6) as qty from cohort"""))
 def fill_mean(spark, folder):
-    part = cohort(spark, folder).select("row_id", "acctbal", "qty")
+    part = cohort_table(spark, folder, "row_id", "acctbal", "qty")
     return C.fit_mean(part, ["acctbal", "qty"]).transform(part)
 
 
@@ -181,7 +182,7 @@ def fill_mean(spark, folder):
   round(case when segment is null then qty else coalesce(qty, avg(qty) over (partition by segment)) end, 6) as qty
 from cohort"""))
 def impute_group_mean(spark, folder):
-    part = cohort(spark, folder).select("row_id", "segment", "acctbal", "qty")
+    part = cohort_table(spark, folder, "row_id", "segment", "acctbal", "qty")
     return C.GroupMeanFill("segment", ["acctbal", "qty"], "row_id").fit(part).transform(part)
 
 
@@ -198,7 +199,7 @@ best as (
 select c.row_id, c.qty, round(c.disc, 6) as disc, coalesce(c.acctbal, b.v) as acctbal
 from cohort c left join best b on b.row_id = c.row_id""".replace("\n, have", ", have", 1)))
 def impute_1nn(spark, folder):
-    part = cohort(spark, folder).select("row_id", "qty", "disc", "acctbal")
+    part = cohort_table(spark, folder, "row_id", "qty", "disc", "acctbal")
     return impute_nearest(part, "acctbal", ["qty", "disc"], "row_id")
 
 
@@ -274,7 +275,7 @@ span as (select min(total) as lo, (max(total) - min(total)) / 10 as w from cappe
 select row_id, total, cast(least(9, greatest(0, ceil((total - lo) / w) - 1)) as integer) as total_bins
 from capped cross join span""".replace(", capped", ", capped", 1)))
 def equal_width_bins(spark, folder):
-    part = cohort(spark, folder).select("row_id", "total")
+    part = cohort_table(spark, folder, "row_id", "total")
     return X.EqualWidthBins("total", 10, cap=400000.0).fit(part).transform(part)
 
 
@@ -284,7 +285,7 @@ select row_id, cast(case when acctbal > e[1] and acctbal <= e[2] then 0 when acc
   as acctbal_qbin
 from cohort cross join q"""))
 def quantile_bins(spark, folder):
-    part = cohort(spark, folder).select("row_id", "acctbal")
+    part = cohort_table(spark, folder, "row_id", "acctbal")
     bins = X.QuantileBins("acctbal", [0.0, 0.25, 0.5, 0.75, 1.0]).fit(part)
     return bins.transform(part).drop("acctbal")
 
@@ -295,13 +296,13 @@ def _dummies(col: str, values) -> str:
 
 @query(on_cohort(f"select row_id, {_dummies('segment', _SEGMENTS)}, {_dummies('priority', _PRIORITIES)} from cohort"))
 def one_hot(spark, folder):
-    part = cohort(spark, folder).select("row_id", "segment", "priority")
+    part = cohort_table(spark, folder, "row_id", "segment", "priority")
     return X.OneHot(["segment", "priority"]).fit(part).transform(part)
 
 
 @query(on_cohort(f"""select row_id, {_dummies('segment', _SEGMENTS[:4])} from cohort where enrolled_yr > 1999"""))
 def one_hot_aligned(spark, folder):
-    part = cohort(spark, folder).select("row_id", "enrolled_yr", "segment")
+    part = cohort_table(spark, folder, "row_id", "enrolled_yr", "segment")
     train = part.where("enrolled_yr <= 1999 and segment <> 'MACHINERY'")
     return X.OneHot(["segment"]).fit(train).transform(part.where("enrolled_yr > 1999")).drop("enrolled_yr")
 
@@ -315,7 +316,7 @@ def one_hot_long(spark, folder):
 @query(on_cohort("""select row_id, round((total - avg(total) over ()) / stddev_pop(total) over (), 6) + 0 as total,
   round((acctbal - avg(acctbal) over ()) / stddev_pop(acctbal) over (), 6) + 0 as acctbal from cohort"""))
 def standardize(spark, folder):
-    part = cohort(spark, folder).select("row_id", "total", "acctbal")
+    part = cohort_table(spark, folder, "row_id", "total", "acctbal")
     return X.Standardize(["total", "acctbal"]).fit(part).transform(part)
 
 
@@ -342,10 +343,9 @@ select row_id, role, acctbal_missing, segment_missing, acctbal, {_dummies('segme
   case when (segment = 'BUILDING') = flag_a then 1 else 0 end as building_match
 from filled"""))
 def feature_recipe(spark, folder):
-    rows = cohort(spark, folder).where("label is not null")
-    part = SP.time_split(rows, "enrolled_yr", 1999).select(
-        "row_id", "role", "acctbal", "segment", "flag_a", "flag_b"
-    )
+    names = ("row_id", "label", "enrolled_yr", "acctbal", "segment", "flag_a", "flag_b")
+    rows = cohort_table(spark, folder, *names).where("label is not null")
+    part = SP.time_split(rows, "enrolled_yr", 1999).drop("label", "enrolled_yr")
     recipe = FeatureRecipe(
         flag_missing=["acctbal", "segment"],
         mode_cols=["segment", "flag_a"],

@@ -11,15 +11,15 @@ from riskloom.operators.clean import fit_median
 from riskloom.plans.models import FittedConstant
 from riskloom.plans.queries_split import BOOT_CV, TIME_FOLDS
 from riskloom.plans.registry import on_cohort, query
-from riskloom.sources.tables import cohort, table
+from riskloom.sources.tables import cohort, cohort_table, table
 
 # --- scored rows -------------------------------------------------------------------
 
 
 def cohort_scores(spark, folder):
     """Test rows of the cohort with score = train-median-filled qty / 300."""
-    rows = SP.time_split(cohort(spark, folder).where("label is not null"), "enrolled_yr", 1999)
-    part = rows.select("row_id", "label", "role", "qty")
+    rows = cohort_table(spark, folder, "row_id", "label", "enrolled_yr", "qty").where("label is not null")
+    part = SP.time_split(rows, "enrolled_yr", 1999).drop("enrolled_yr")
     filled = fit_median(part.where("role = 'train'"), ["qty"]).transform(part)
     return filled.where("role = 'test'").select("row_id", "label", (F.col("qty") / 300).alias("score"))
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from riskloom.operators import profile as P
 from riskloom.operators.clean import mode_table
 from riskloom.plans.registry import on_cohort, query
-from riskloom.sources.tables import cohort, table
+from riskloom.sources.tables import cohort, cohort_table, table
 
 _NUMBERS = ("row_id", "label", "enrolled_yr", "qty", "disc", "total", "acctbal")
 _TEXTS = ("segment", "priority", "flag_a", "flag_b")
@@ -59,7 +59,7 @@ _PROFILED = tuple(c for c in _ALL if c != "disc")
 
 @query(on_cohort(_profile_cte(_PROFILED) + "select * from prof"))
 def profile_stats(spark, folder):
-    return P.profile(cohort(spark, folder).select(*_PROFILED))
+    return P.profile(cohort_table(spark, folder, *_PROFILED))
 
 
 @query(
@@ -72,7 +72,7 @@ def profile_stats(spark, folder):
     )
 )
 def profile_masked(spark, folder):
-    return P.mask_profile(P.profile(cohort(spark, folder).select(*_PROFILED)), "label")
+    return P.mask_profile(P.profile(cohort_table(spark, folder, *_PROFILED)), "label")
 
 
 def _transposed_sql() -> str:
@@ -90,7 +90,7 @@ def _transposed_sql() -> str:
 @query(_transposed_sql())
 def profile_transposed(spark, folder):
     names = ["qty", "total", "acctbal"]
-    return P.transpose(P.describe(cohort(spark, folder), names), "column", names)
+    return P.transpose(P.describe(cohort_table(spark, folder, *names), names), "column", names)
 
 
 @query(on_cohort(_missing_sql(_ALL)))
@@ -105,7 +105,7 @@ def cols_with_missing(spark, folder):
 
 @query(on_cohort(_describe_sql(("qty", "disc", "total", "acctbal"))))
 def describe(spark, folder):
-    return P.describe(cohort(spark, folder), ["qty", "disc", "total", "acctbal"])
+    return P.describe(cohort_table(spark, folder, "qty", "disc", "total", "acctbal"))
 
 
 def _modes_sql() -> str:
@@ -159,7 +159,7 @@ from range({bins}) r(i) cross join span left join counts on counts.bin = r.i"""
 
 @query(on_cohort(", " + _histogram_sql("cohort", "acctbal", 40, "min(acctbal)", "max(acctbal)")))
 def histogram(spark, folder):
-    return P.histogram(cohort(spark, folder), "acctbal", 40)
+    return P.histogram(cohort_table(spark, folder, "acctbal"), "acctbal", 40)
 
 
 _EDGES = [0.0, 1000.0, 2500.0, 5000.0, 7500.0, 9000.0]

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from riskloom.operators.relational import lookup_join
 from riskloom.roles import nan_to_null
+from riskloom.session import cut
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -54,3 +55,8 @@ def cohort(spark: SparkSession, folder: str) -> DataFrame:
         unless(1, 13, F.col("o_orderstatus") == "F").alias("flag_a"),
         (F.col("c_nationkey") % 2 == 0).alias("flag_b"),
     )
+
+
+def cohort_table(spark: SparkSession, folder: str, *cols: str) -> DataFrame:
+    """Columns of the cohort, written once: for steps that read their input several times."""
+    return cut(cohort(spark, folder).select(*cols))
