@@ -261,9 +261,11 @@ def with_baseline(results: DataFrame, df: DataFrame, label: str = "label", model
     return results.unionByName(base.select(*results.columns))
 
 
-def metrics_table(pred: DataFrame, thresholds: dict[str, float], model: str = "model") -> DataFrame:
+def metrics_table(
+    pred: DataFrame, thresholds: dict[str, float], model: str = "model", weight: str | None = None
+) -> DataFrame:
     """One row per model, each at its own threshold."""
-    wide = evaluate(pred, sorted(set(thresholds.values())), [model])
+    wide = evaluate(pred, sorted(set(thresholds.values())), [model], weight)
     wanted = None
     for name, t in thresholds.items():
         one = (F.col(model) == F.lit(name)) & (F.col("threshold") == F.lit(float(t)))

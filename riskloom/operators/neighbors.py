@@ -17,13 +17,12 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from riskloom.operators.relational import lookup_join
 from riskloom.session import cut
 
 # Rows of each side one task holds at a time, and the sample that places the boxes.
 BLOCK = 4096
 SAMPLE = 50_000
-# Parts the rows of one hot key are spread over in a join.
-SALTS = 16
 # Distances are compared after rounding, so that ties do not hang on the last bit.
 DIGITS = 9
 
@@ -228,13 +227,11 @@ def nearest(queries: DataFrame, candidates: DataFrame, k: int = 1, block: int =
         first = _top_k(first.select("qid", "cid", "dist").unionByName(second), k)
     if points.count() == spread.count():
         return first.select("qid", "cid", "dist", "rank")
-    # hand the answer of a point to all queries that sit on it; those of a hot point
-    # are spread over salts
-    every_salt = F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(SALTS - 1).cast("bigint"))).alias("_s")
-    owner = points.select(F.col("qid").alias("rep"), "x", every_salt)
-    answers = first.select(F.col("qid").alias("rep"), "cid", "dist", "rank", every_salt)
-    reps = spread.withColumn("_s", F.pmod(F.xxhash64("qid"), F.lit(SALTS))).join(owner, ["x", "_s"])
-    return reps.select("qid", "rep", "_s").join(answers, ["rep", "_s"]).select("qid", "cid", "dist", "rank")
+    # hand the answer of a point to all queries that sit on it, hot points salted
+    owner = points.select(F.col("qid").alias("rep"), "x")
+    reps = lookup_join(spread, owner, ["x"], "qid", how="inner").select("qid", "rep")
+    answers = first.select(F.col("qid").alias("rep"), "cid", "dist", "rank")
+    return lookup_join(reps, answers, ["rep"], "qid", how="inner").select("qid", "cid", "dist", "rank")
 
 
 def _unit(key: str):
@@ -276,16 +273,10 @@ def impute_nearest(
     x = _vector(by).alias("x")
     lack = df.where(F.col(target).isNull() & usable).select(F.col(key).alias("qid"), x)
     have = df.where(F.col(target).isNotNull() & usable).select(F.col(key).alias("cid"), x)
-    pairs = nearest(lack, have, 1, block).select(F.col("qid").alias(key), "cid")
-    # a value may be handed to many rows: look it up per distinct giver, salted by the taker
+    pairs = cut(nearest(lack, have, 1, block).select(F.col("qid").alias(key), "cid"))
+    # one row may give its value to many others
     givers = df.select(F.col(key).alias("cid"), F.col(target).alias("_v")).where(F.col("_v").isNotNull())
-    wanted = pairs.select("cid").distinct().join(givers, "cid")
-    spread = wanted.withColumn("_s", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(SALTS - 1).cast("bigint"))))
-    got = (
-        pairs.withColumn("_s", F.pmod(F.xxhash64(key), F.lit(SALTS)))
-        .join(spread, ["cid", "_s"])
-        .select(key, "_v")
-    )
+    got = lookup_join(pairs, givers, ["cid"], key, how="inner").select(key, "_v")
     filled = df.join(got, key, "left").withColumn(target, F.coalesce(F.col(target), F.col("_v")))
     return filled.select(*df.columns).orderBy(key)
 
@@ -331,13 +322,8 @@ def neighbour_labels(
     found = nearest(
         test.select(F.col(key).alias("qid"), x), train.select(F.col(key).alias("cid"), x), k, block
     )
-    # a popular neighbour may serve a third of all queries: salt its label
-    labels = train.select(F.col(key).alias("cid"), F.col(label).alias("neighbour_label")).withColumn(
-        "_s", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(SALTS - 1).cast("bigint")))
-    )
-    return (
-        found.withColumn("_s", F.pmod(F.xxhash64("qid"), F.lit(SALTS)))
-        .join(labels, ["cid", "_s"])
-        .select(F.col("qid").alias(key), "rank", "dist", "neighbour_label")
+    # a popular neighbour may serve a third of all queries
+    labels = train.select(F.col(key).alias("cid"), F.col(label).alias("neighbour_label"))
+    return lookup_join(cut(found), labels, ["cid"], "qid", how="inner").select(
+        F.col("qid").alias(key), "rank", "dist", "neighbour_label"
     )
-

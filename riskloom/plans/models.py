@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from riskloom.operators.neighbors import neighbour_labels
 from riskloom.operators.split import bootstrap_groups
-from riskloom.session import cut
+from riskloom.session import checkpoint, cut
 
 # Spark's deepest tree; stands for "no limit".
 MAX_DEPTH = 30
@@ -274,7 +274,7 @@ def _fit_adaboost(train: DataFrame, params: dict[str, Any], seed: int) -> Fitted
     """
     rounds, rate = params.get("n_estimators", 50), params.get("learning_rate", 1.0)
     total = train.agg(F.sum("w")).first()[0]
-    data = cut(train.select("label", "features", (F.col("w") / F.lit(total)).alias("w")))
+    data = checkpoint(train.select("label", "features", (F.col("w") / F.lit(total)).alias("w")))
     stump = DecisionTreeClassifier(
         featuresCol="features", labelCol="label", weightCol="w", maxDepth=1, impurity="gini", seed=seed
     )
@@ -295,7 +295,7 @@ def _fit_adaboost(train: DataFrame, params: dict[str, Any], seed: int) -> Fitted
         scale = mass + err * mass * (math.exp(alpha) - 1)
         data = scored.select("label", "features", (new / F.lit(scale)).alias("w"))
         if (i + 1) % CUT_EVERY == 0:
-            data = cut(data)
+            data = checkpoint(data)
     if not members:
         members = [(1.0, model)]
     return FittedBoost(members)
@@ -320,7 +320,7 @@ def placed(data: DataFrame) -> DataFrame:
 
     Tree bins and samples look at rows in order; without this a seed would not fix them.
     """
-    return cut(data.repartition(F.col("row_id")).sortWithinPartitions("row_id"))
+    return checkpoint(data.repartition(F.col("row_id")).sortWithinPartitions("row_id"))
 
 
 def fit_predict(

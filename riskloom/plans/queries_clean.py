@@ -357,6 +357,34 @@ def feature_recipe(spark, folder):
     return recipe.fit(part.where("role = 'train'")).transform(part)
 
 
+@query(on_cohort("""select row_id, cast(year(coalesce(first_ship, timestamp '2000-01-01')) as integer) as first_ship_yr,
+  cast(month(coalesce(first_ship, timestamp '2000-01-01')) as integer) as first_ship_mth,
+  (epoch_us(coalesce(first_ship, timestamp '2000-01-01')) - epoch_us(enrolled)) * 1000 as wait,
+  case when coalesce(last_ship, timestamp '2000-06-01') < enrolled then 1 else 0 end as left_early,
+  cast(year(coalesce(last_ship, timestamp '2000-06-01')) as integer) - enrolled_yr as years,
+  case when coalesce(flag_a, true) = coalesce(flag_b, true) then 1 else 0 end as flags_match,
+  round(abs(total - acctbal), 6) as difference
+from cohort where label is not null"""))
+def client_features(spark, folder):
+    """Fill dates, take their parts, derive intervals, flags and differences: one projection over the scan."""
+    rows = cohort(spark, folder).na.drop(subset=["label"])
+    filled = C.fill_constant(rows, {"first_ship": "2000-01-01 00:00:00", "last_ship": "2000-06-01 00:00:00"})
+    dated = C.date_parts(filled, ["first_ship", "last_ship"])
+    derived = C.interval(C.interval(dated, "enrolled", "first_ship", "wait"), "enrolled", "last_ship", "stay")
+    derived = C.interval(derived, "enrolled_yr", "last_ship_yr", "years")
+    derived = C.match_feature(derived, "flag_a", "flag_b", "flags_match")
+    return derived.select(
+        "row_id",
+        "first_ship_yr",
+        "first_ship_mth",
+        "wait",
+        S.negative_flag(F.col("stay")).alias("left_early"),
+        "years",
+        "flags_match",
+        S.abs_difference(F.col("total"), F.col("acctbal")).alias("difference"),
+    )
+
+
 # --- joins, unions -----------------------------------------------------------------
 
 

@@ -119,7 +119,7 @@ def grid_search(spark, folder):
     train, test, features = prepared(spark, folder)
     grids = {"LR": ("logistic", {"C": [0.01, 1.0]}), "DT": ("tree", {"criterion": ["gini", "entropy"], "max_depth": [3, 6]})}
     found = search.grid_search(train, test, features, grids, [0.3, 0.35, 0.4], "f1", seed=1)
-    return found.drop("params")
+    return found.drop("params", "train_time", "test_time")
 
 
 @query()
@@ -129,7 +129,7 @@ def bootstrap_grid_search(spark, folder):
     found = search.bootstrap_grid_search(
         rows, "enrolled_yr", [(1997, 1998), (1998, 1999)], recipe(), [], grids, [0.3, 0.35], "auc_roc", replicates=2, seed=1
     )
-    return found.drop("params")
+    return found.drop("params", "train_time", "test_time")
 
 
 @query()
@@ -143,6 +143,18 @@ def model_comparison(spark, folder):
     return search.compare_models(rows, ["qty", "disc", "total", "acctbal"], grids, folds=3, seed=1)
 
 
+@query()
+def final_comparison(spark, folder):
+    """Forest, bagging and boosting on the final split, each at its own threshold, and the baseline."""
+    train, test, features = prepared(spark, folder)
+    chosen = {
+        "Random Forest": ("forest", {"n_estimators": 25, "max_depth": 8}, 0.25),
+        "Bagging": ("bagging", {"n_estimators": 5, "max_features": 0.5, "base_estimator": ("tree", {"max_depth": 6})}, 0.3),
+        "Boosting": ("gbt", {"n_estimators": 10, "learning_rate": 0.1}, 0.2),
+    }
+    return search.final_comparison(train, test, features, chosen, seed=1)
+
+
 @query()
 def error_tree(spark, folder):
     """Rules of a shallow tree over the positives that a forest misses."""

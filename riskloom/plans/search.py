@@ -8,6 +8,7 @@ folder; all candidates are then evaluated from that table in one aggregation.
 from __future__ import annotations
 
 import json
+import time
 from collections.abc import Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
@@ -42,6 +43,16 @@ class Candidate:
         return f"{self.model}_{json.dumps(dict(self.params), sort_keys=True)}"
 
 
+@dataclass(frozen=True)
+class Timing:
+    """Seconds one candidate took on one split: run metadata, never compared."""
+
+    model: str
+    comb: int
+    train: float
+    test: float
+
+
 def candidates(grids: Mapping[str, tuple[str, Mapping[str, Sequence[Any]]]]) -> list[Candidate]:
     """All parameter combinations of each model: ``{model: (kind, {param: values})}``."""
     return [
@@ -66,18 +77,32 @@ def _predict_all(
     replicate: int,
     seed: int,
     parallel: int,
-) -> None:
+) -> list[Timing]:
     """Fit every candidate on one split and write its scores."""
     train, test = M.placed(train), cut(test)
 
-    def one(c: Candidate) -> None:
+    def one(c: Candidate) -> Timing:
+        start = time.monotonic()
         model = M.fit(c.kind, train, dict(c.params), features, seed)
+        fitted = time.monotonic()
         scores = model.scores(test).groupBy("score", "label").agg(F.sum("w").alias("w"))
         target = f"{path}/model={c.model}/comb={c.comb}/fold={fold}/replicate={replicate}"
         scores.write.mode("overwrite").parquet(target)
+        return Timing(c.model, c.comb, fitted - start, time.monotonic() - fitted)
 
     with ThreadPoolExecutor(max_workers=parallel) as pool:
-        list(pool.map(one, cands))
+        return list(pool.map(one, cands))
+
+
+def _describe(metrics: DataFrame, cands: Sequence[Candidate], timings: Sequence[Timing]) -> DataFrame:
+    """Metrics plus each candidate's name, parameters and mean times over its splits."""
+    spark = metrics.sparkSession
+    schema = "model string, comb int, train_time double, test_time double"
+    times = spark.createDataFrame([(t.model, t.comb, t.train, t.test) for t in timings], schema)
+    mean = times.groupBy("model", "comb").agg(F.avg("train_time").alias("train_time"), F.avg("test_time").alias("test_time"))
+    # one row per candidate
+    known = candidate_table(spark, cands).join(F.broadcast(mean), ["model", "comb"])
+    return metrics.join(F.broadcast(known), ["model", "comb"])
 
 
 def _read(spark, path: str) -> DataFrame:
@@ -98,12 +123,11 @@ def grid_search(
     spark = train.sparkSession
     cands = candidates(grids)
     path = fresh_path(spark, "grid")
-    _predict_all(
+    timings = _predict_all(
         path, cands, M.assemble(train, features), M.assemble(test, features), features, 0, 0, seed, parallel
     )
     metrics = E.evaluate(_read(spark, path), thresholds, ["model", "comb"], weight="w")
-    named = metrics.join(F.broadcast(candidate_table(spark, cands)), ["model", "comb"])
-    return rank_results(named, criterion)
+    return rank_results(_describe(metrics, cands, timings), criterion)
 
 
 def bootstrap_grid_search(
@@ -128,6 +152,7 @@ def bootstrap_grid_search(
     cands = candidates(grids)
     path = fresh_path(spark, "bootgrid")
     df = cut(df)
+    timings: list[Timing] = []
     draws = cut(bootstrap_time_cv(df, time_col, folds, "row_id", pct, replicates, seed))
     for fold in range(len(folds)):
         for rep in range(replicates):
@@ -139,7 +164,7 @@ def bootstrap_grid_search(
             step.fit(lookup_rows(df, picks, "row_id").drop("draw"))
             train, test = step.transform(df.join(picks, "row_id")), step.transform(df.join(tests, "row_id"))
             features = feature_columns(train, ["row_id", "label", "mult", time_col, *skip])
-            _predict_all(
+            timings += _predict_all(
                 path,
                 cands,
                 M.assemble(train, features, "mult"),
@@ -154,8 +179,7 @@ def bootstrap_grid_search(
     sizes = draws.where("role = 'train'").groupBy("fold").agg(F.sum("mult").alias("train_rows"))
     names = list(E.METRICS)
     mean = E.weighted_fold_mean(metrics, sizes, ["model", "comb", "threshold"], "fold", names)
-    named = mean.join(F.broadcast(candidate_table(spark, cands)), ["model", "comb"])
-    return rank_results(named, criterion)
+    return rank_results(_describe(mean, cands, timings), criterion)
 
 
 def cross_predict(
@@ -204,14 +228,15 @@ def kfold_search(
     cands = candidates(grids)
     path = fresh_path(spark, "kfold")
     data = cut(df.join(kfold_shuffled(df, "row_id", folds, seed), "row_id"))
+    timings: list[Timing] = []
     for fold in range(folds):
         one = _fold_frame(data, features, fold, True, True)
         train, test = one.where(F.col("fold") != fold), one.where(F.col("fold") == fold)
-        _predict_all(
+        timings += _predict_all(
             path, cands, M.assemble(train, features), M.assemble(test, features), features, fold, 0, seed, parallel
         )
     metrics = E.evaluate(_read(spark, path), [threshold], ["model", "comb"], weight="w")
-    return metrics.join(F.broadcast(candidate_table(spark, cands)), ["model", "comb"])
+    return _describe(metrics, cands, timings)
 
 
 def compare_models(
@@ -227,3 +252,21 @@ def compare_models(
     table = found.join(F.broadcast(best), ["model", "comb"]).select("model", "name", *E.METRICS)
     base = E.with_baseline(table.drop("name"), df)
     return base.join(table.select("model", "name"), "model", "left")
+
+
+def final_comparison(
+    train: DataFrame,
+    test: DataFrame,
+    features: Sequence[str],
+    chosen: Mapping[str, tuple[str, Mapping[str, Any], float]],
+    seed: int = 0,
+    parallel: int = PARALLEL_FITS,
+) -> DataFrame:
+    """Chosen models on the final split, ``{model: (kind, params, threshold)}``, and the baseline."""
+    cands = [Candidate(m, kind, 0, tuple(params.items())) for m, (kind, params, _) in chosen.items()]
+    path = fresh_path(train.sparkSession, "final")
+    _predict_all(
+        path, cands, M.assemble(train, features), M.assemble(test, features), features, 0, 0, seed, parallel
+    )
+    wide = E.metrics_table(_read(train.sparkSession, path), {m: t for m, (*_, t) in chosen.items()}, weight="w")
+    return E.with_baseline(wide.select("model", "threshold", *E.METRICS), test)
