@@ -9,17 +9,22 @@ points are merged before the search, so that one hot point costs one row.
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Sequence
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from riskloom.operators.relational import lookup_join
 from riskloom.session import cut
 
+# Tasks get the helpers below with their code, so that workers need no copy of the package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 # Rows of each side one task holds at a time, and the sample that places the boxes.
 BLOCK = 4096
 SAMPLE = 50_000
