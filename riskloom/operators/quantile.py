@@ -52,7 +52,7 @@ def exact_quantiles(
     df: DataFrame,
     cols: Sequence[str],
     probs: Sequence[float],
-    distinct_limit: int = 1 << 20,
+    distinct_limit: int = 1 << 16,
     accuracy: int = 10_000,
     max_rounds: int = 12,
 ) -> dict[str, dict[float, float | None]]:
@@ -68,7 +68,7 @@ def quantiles_and_moments(
     df: DataFrame,
     cols: Sequence[str],
     probs: Sequence[float],
-    distinct_limit: int = 1 << 20,
+    distinct_limit: int = 1 << 16,
     accuracy: int = 10_000,
     max_rounds: int = 12,
 ) -> tuple[dict[str, dict[float, float | None]], dict[str, dict[str, float]]]:

@@ -31,6 +31,8 @@ from riskloom.session import checkpoint, cut
 
 # Spark's deepest tree; stands for "no limit".
 MAX_DEPTH = 30
+# Rows of one part of a training table.
+PART_ROWS = 1_000_000
 # Rounds of boosting after which the lineage is cut.
 CUT_EVERY = 5
 
@@ -319,8 +321,11 @@ def placed(data: DataFrame) -> DataFrame:
     """Rows in an order that depends on their key only, then written once.
 
     Tree bins and samples look at rows in order; without this a seed would not fix them.
+    Every core gets a part, however small the table, and no part exceeds a fixed row count.
     """
-    return checkpoint(data.repartition(F.col("row_id")).sortWithinPartitions("row_id"))
+    cores = data.sparkSession.sparkContext.defaultParallelism
+    parts = max(cores, -(-data.count() // PART_ROWS))
+    return checkpoint(data.repartition(parts, F.col("row_id")).sortWithinPartitions("row_id"))
 
 
 def fit_predict(
