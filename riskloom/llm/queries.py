@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskloom.llm import bpe, exact, toxicity
+from riskloom.llm import bpe, exact, packing, simhash, toxicity
 from riskloom.session import prepare
 
 QUERIES = {}
@@ -49,3 +49,13 @@ from t join g on t.n = g.n"""
 def op3_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     ranks = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
     return bpe.digests(read(spark, folder, "documents"), ranks, public_tokenizers.PATTERN, keep=["doc_id"])
+
+
+@register
+def op4_simhash(spark: SparkSession, folder: str) -> DataFrame:
+    return simhash.near_duplicates(read(spark, folder, "documents"))
+
+
+@register
+def op5_packing(spark: SparkSession, folder: str) -> DataFrame:
+    return packing.pack(read(spark, folder, "documents"), public_tokenizers.path("word_bpe_49k.json"))
