@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskloom.llm import bpe, exact, packing, simhash, toxicity
+from riskloom.llm import bpe, exact, packing, repeats, simhash, toxicity
 from riskloom.session import prepare
 
 QUERIES = {}
@@ -59,3 +59,8 @@ def op4_simhash(spark: SparkSession, folder: str) -> DataFrame:
 @register
 def op5_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(read(spark, folder, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
+@register
+def op9_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return repeats.remove_repeats(read(spark, folder, "documents"))
