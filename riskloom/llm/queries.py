@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskloom.llm import bpe, exact, packing, repeats, simhash, toxicity
+from riskloom.llm import bpe, chat, exact, graph, packing, repeats, simhash, toxicity
 from riskloom.session import prepare
 
 QUERIES = {}
@@ -64,3 +64,44 @@ def op5_packing(spark: SparkSession, folder: str) -> DataFrame:
 @register
 def op9_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return repeats.remove_repeats(read(spark, folder, "documents"))
+
+
+@register
+def op7_chat_format(spark: SparkSession, folder: str) -> DataFrame:
+    hard = "\\### Assistant: </turn> ok"
+    given = read(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
+    one = spark.range(1).select(F.lit(-7).cast("long").alias("conv_id"), F.explode(F.array(*[
+        F.struct(F.lit(i).cast("long").alias("turn"), F.lit(r).alias("role"), F.lit(hard).alias("text")) for i, r in enumerate(("user", "assistant"))
+    ])).alias("t")).select("conv_id", "t.*")
+    made = chat.format_chats(given.unionByName(one))
+    back = made.select(
+        "conv_id", F.length("formatted").cast("long").alias("formatted_chars"),
+        chat.read_turns(F.col("formatted")).alias("turns"), chat.read_loss(F.col("formatted"), F.col("loss_runs")).alias("loss"),
+    )
+    listed = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
+    return back.select(
+        "conv_id", F.size("turns").cast("long").alias("n_turns"), F.sha2(listed, 256).alias("turns_sha256"),
+        F.length("loss").cast("long").alias("loss_chars"), F.sha2("loss", 256).alias("loss_sha256"), "formatted_chars",
+    )
+
+
+SQL["op7_chat_format"] = """
+with t as (
+  select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text from conversations
+  union all select -7, 0, 'user', '\\### Assistant: </turn> ok'
+  union all select -7, 1, 'assistant', '\\### Assistant: </turn> ok'),
+m as (
+  select *, coalesce(lag(role) over (partition by conv_id order by turn nulls first, role, text) = role, false) as joined from t),
+e as (
+  select *, length(replace(replace(text, '\\', '\\b'), '<', '\\l')) + case when joined then 6 else length(role) + 15 end as chars from m)
+select conv_id, count(*) as n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' order by turn nulls first, role, text)) as turns_sha256,
+       cast(coalesce(sum(length(text)) filter (where role = 'assistant'), 0) as bigint) as loss_chars,
+       sha256(coalesce(string_agg(text, '' order by turn nulls first, role, text) filter (where role = 'assistant'), '')) as loss_sha256,
+       cast(sum(chars) as bigint) as formatted_chars
+from e group by conv_id"""
+
+
+@register
+def op10_nearest(spark: SparkSession, folder: str) -> DataFrame:
+    return graph.nearest(read(spark, folder, "embeddings"))
