@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskloom.llm import bpe, chat, exact, graph, packing, repeats, simhash, toxicity
+from riskloom.llm import bpe, chat, counts, exact, graph, importance, packing, repeats, simhash, toxicity
 from riskloom.session import prepare
 
 QUERIES = {}
@@ -105,3 +105,18 @@ from e group by conv_id"""
 @register
 def op10_nearest(spark: SparkSession, folder: str) -> DataFrame:
     return graph.nearest(read(spark, folder, "embeddings"))
+
+
+@register
+def op6_importance(spark: SparkSession, folder: str) -> DataFrame:
+    docs = read(spark, folder, "documents").select("doc_id", "text")
+    good = read(spark, folder, "labels").where((F.col("quality") == 1) & ~toxicity.held_out())
+    return importance.resample(docs, good, 0.5)
+
+
+@register
+def op8_token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    """Counts before and after every run of three and more digits is masked."""
+    docs = counts.masking_edits(read(spark, folder, "documents").select("doc_id", "text"), r"\d{3,}", "000")
+    made = counts.count_tokens(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN, "edits")
+    return made.select("doc_id", "n_tokens", "n_edits", "n_tokens_edited", "n_encoded", F.sha2("edited", 256).alias("edited_sha256"))
