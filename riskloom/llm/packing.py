@@ -50,20 +50,24 @@ class WordCoder:
         split = [p["pattern"]["Regex"] for p in spec["pre_tokenizer"]["pretokenizers"] if p["type"] == "Split"]
         self.whole = tokenizers.Tokenizer.from_file(path)
         self.whole.encode_special_tokens = True
-        self.specials = [t["content"].lower() for t in spec["added_tokens"]]
         self.splits = regex.compile(split[0])
         self.bytewise = tokenizers.pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
-        self.pieces = BoundedMemo(self._piece, 400_000)
-        self.words = BoundedMemo(self._word, 400_000)
+        self.pieces = BoundedMemo(self._piece, 800_000)
+        self.words = BoundedMemo(self._word, 1_000_000)
 
     def _piece(self, piece: str) -> bytes:
-        seen = self.bytewise.pre_tokenize_str(piece)[0][0]
+        # printable ASCII stands for itself
+        seen = piece if piece.isascii() and piece.isprintable() else self.bytewise.pre_tokenize_str(piece)[0][0]
         return np.array([t.id for t in self.whole.model.tokenize(seen)], "<u4").tobytes()
 
     def _word(self, word: str) -> bytes:
-        if not word.isascii():
+        if word.isascii() or (max(word) < "\u0250" and "\u0130" not in word):
+            word = word.lower()  # characters that are composed already, each with one lower case
+            if word.isascii() and word.isalpha():
+                return self.pieces[word]
+        else:
             word = self.whole.normalizer.normalize_str(word)
-        return b"".join([self.pieces[p] for p in self.splits.findall(word.lower() if word.isascii() else word)])
+        return b"".join([self.pieces[p] for p in self.splits.findall(word)])
 
     def encode(self, text: str) -> bytes:
         if ODD.search(text):
