@@ -20,9 +20,15 @@ BATCH = 2000
 
 
 def process_cache(key: object, make: Callable[[], object]) -> object:
-    """A value that outlives the task in its Python worker (models, vocabularies, memos)."""
+    """A value that outlives the task in its Python worker (models, vocabularies, memos).
+
+    A new value takes the place of what other operators left in the worker, so that their
+    memos do not add up over the stages of a job.
+    """
     store = sys.modules.setdefault("_llm_process_cache", types.ModuleType("_llm_process_cache")).__dict__
     if key not in store:
+        for old in [k for k in store if isinstance(k, tuple)]:
+            del store[old]
         store[key] = make()
     return store[key]
 

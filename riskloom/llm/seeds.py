@@ -67,7 +67,7 @@ def windows_by_seed(texts: list[bytes]) -> tuple[np.ndarray, ...]:
     return who, starts - begins[who], ends - begins[who], grams - begins[who], hashes[grams]
 
 
-def blocks(texts: list[bytes], size: int = 2 << 20):
+def blocks(texts: list[bytes], size: int = 1 << 20):
     """``windows_by_seed`` over blocks of texts, long ones in parts that share LENGTH - 1 bytes."""
     some: list[bytes] = []
     number: list[int] = []
