@@ -67,10 +67,16 @@ class Fill:
 
     def transform(self, df: DataFrame) -> DataFrame:
         types = {f.name: f.dataType for f in df.schema.fields}
+
+        def wide(c: str, v: Any) -> T.DataType:
+            # a fractional value widens an integer column instead of losing its fraction
+            fraction = isinstance(v, float) and not v.is_integer()
+            return T.DoubleType() if fraction and isinstance(types[c], T.IntegralType) else types[c]
+
         return with_columns(
             df,
             {
-                c: F.coalesce(F.col(quoted(c)), F.lit(v).cast(types[c]))
+                c: F.coalesce(F.col(quoted(c)).cast(wide(c, v)), F.lit(v).cast(wide(c, v)))
                 for c, v in self.values.items()
                 if v is not None
             },

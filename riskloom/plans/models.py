@@ -67,7 +67,11 @@ def _subset(max_features: Any) -> str:
 
 
 def _depth(max_depth: int | None) -> int:
-    return MAX_DEPTH if max_depth is None else min(MAX_DEPTH, int(max_depth))
+    if max_depth is None:
+        return MAX_DEPTH
+    if int(max_depth) > MAX_DEPTH:
+        raise ValueError(f"trees reach depth {MAX_DEPTH} at most; None means no limit of one's own")
+    return int(max_depth)
 
 
 def estimator(kind: str, params: dict[str, Any], rows: float, seed: int):

@@ -7,6 +7,10 @@ from pyspark.sql import types as T
 
 from riskloom.roles import nan_to_null
 
+# Quoting and time formats that both sides share.
+_TIME = "yyyy-MM-dd HH:mm:ss[.SSSSSS]"
+_TEXT = {"quote": '"', "escape": '"', "multiLine": "true", "timestampFormat": _TIME, "timestampNTZFormat": _TIME}
+
 
 def read_csv(
     spark: SparkSession,
@@ -19,14 +23,17 @@ def read_csv(
 ) -> DataFrame:
     """A CSV file with header; the unnamed or first column becomes ``row_key``.
 
-    Give a schema for large files: without one the types are inferred by an extra scan.
+    Doubled quotes and line breaks inside quotes are read as written, so a file is read by
+    one task: large tables come in many part files. Give a schema for them: without one the
+    types are inferred by an extra scan. A cell that does not fit its type raises.
     """
     reader = (
         spark.read.option("header", True)
         .option("sep", sep)
         .option("encoding", encoding)
         .option("nullValue", null_token)
-        .option("timestampFormat", "yyyy-MM-dd HH:mm:ss")
+        .options(**_TEXT)
+        .option("mode", "FAILFAST")
     )
     reader = reader.schema(schema) if schema is not None else reader.option("inferSchema", True)
     df = reader.csv(path)
@@ -37,4 +44,4 @@ def read_csv(
 
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite", null_token: str = "") -> None:
     """One directory of CSV parts with header; ``mode='append'`` adds to it."""
-    df.write.mode(mode).option("header", True).option("nullValue", null_token).csv(path)
+    df.write.mode(mode).option("header", True).option("nullValue", null_token).options(**_TEXT).csv(path)
