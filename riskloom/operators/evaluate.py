@@ -144,14 +144,17 @@ def auc_roc_hard(pred: DataFrame, threshold: float, keys: Sequence[str] = ()) ->
 
 
 def _cell_array(thresholds: Sequence[float]) -> Column:
+    def total(value: Column) -> Column:
+        return F.coalesce(F.sum(value), F.lit(0))  # an empty table has zero cells
+
     def cell(t: float) -> Column:
         hit = F.col("score") >= F.lit(float(t))
         return F.struct(
             F.lit(float(t)).alias("threshold"),
-            F.sum(F.when(hit, F.col("pos")).otherwise(0)).alias("tp"),
-            F.sum(F.when(hit, F.col("neg")).otherwise(0)).alias("fp"),
-            F.sum(F.when(hit, 0).otherwise(F.col("pos"))).alias("fn"),
-            F.sum(F.when(hit, 0).otherwise(F.col("neg"))).alias("tn"),
+            total(F.when(hit, F.col("pos")).otherwise(0)).alias("tp"),
+            total(F.when(hit, F.col("neg")).otherwise(0)).alias("fp"),
+            total(F.when(hit, 0).otherwise(F.col("pos"))).alias("fn"),
+            total(F.when(hit, 0).otherwise(F.col("neg"))).alias("tn"),
         )
 
     return F.array(*[cell(t) for t in thresholds])
