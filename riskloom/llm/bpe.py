@@ -4,7 +4,7 @@ A document longer than one chunk is cut into overlapping chunks, which are pre-t
 in parallel. A match of the pattern depends only on the text from its start onwards, so
 once two neighbouring chunks have a pre-token boundary at the same place of their overlap
 they agree from there on. The first such place ends one piece and begins the next; a chunk
-that never agrees with its predecessor is joined to it. The pieces, each a whole number of
+that never agrees with its predecessor is joined to it, and so are those behind it. The pieces, each a whole number of
 pre-tokens, are encoded in parallel and put together in order. Documents of one chunk are
 one piece. Long texts that occur repeatedly are encoded once.
 
@@ -200,8 +200,11 @@ def _long(long: DataFrame, path, pattern, chunk, overlap, digest, made) -> DataF
     marked = chunks.mapInArrow(_pretokenise(pattern, chunk, overlap), "key string, c bigint, whole boolean, text string, heads array<bigint>, tails array<bigint>")
     # where chunk c agrees with its predecessor: computed from the overlaps alone
     marks = marked.select("key", "c", "heads", F.lag("tails").over(Window.partitionBy("key").orderBy("c")).alias("before"), "text")
-    synced = marks.withColumn("at", F.when(F.col("c") == 0, F.lit(0).cast("long")).otherwise(F.array_min(F.array_intersect("heads", "before"))))
+    met = marks.withColumn("met", F.when(F.col("c") == 0, F.lit(0).cast("long")).otherwise(F.array_min(F.array_intersect("heads", "before"))))
     order = Window.partitionBy("key").orderBy("c")
+    # two chunks may agree on a wrong boundary if the first of them never met its own predecessor
+    sure = F.min(F.col("met").isNotNull()).over(order.rowsBetween(Window.unboundedPreceding, 0))
+    synced = met.withColumn("at", F.when(sure, F.col("met")))
     placed = synced.select(
         "key", "c", "text", "at",
         F.last("at", ignorenulls=True).over(order.rowsBetween(Window.unboundedPreceding, 0)).alias("piece"),

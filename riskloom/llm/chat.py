@@ -41,10 +41,18 @@ def format_chats(
     """(conv_id, formatted, loss_runs array<struct<skip, take>>), a row for each conversation."""
     said = F.struct(
         F.col(quoted(turn)).alias("turn"),
-        F.replace(escape(F.coalesce(F.col(quoted(role)).cast("string"), F.lit(""))), F.lit(">"), F.lit("\\g")).alias("role"),
-        escape(F.coalesce(F.col(quoted(text)).cast("string"), F.lit(""))).alias("text"),
+        F.coalesce(F.col(quoted(role)).cast("string"), F.lit("")).alias("role"),
+        F.coalesce(F.col(quoted(text)).cast("string"), F.lit("")).alias("text"),
+    )
+    # sorted as given: escaping would change the order of equal turn numbers
+    sorted_ = turns.groupBy(F.col(quoted(conv)).alias("conv")).agg(F.sort_array(F.collect_list(said)).alias("said"))
+    ordered = sorted_.select(
+        "conv",
+        F.transform(
+            "said",
+            lambda x: F.struct(F.replace(escape(x["role"]), F.lit(">"), F.lit("\\g")).alias("role"), escape(x["text"]).alias("text")),
+        ).alias("turns"),
     )
-    ordered = turns.groupBy(F.col(quoted(conv)).alias("conv")).agg(F.sort_array(F.collect_list(said)).alias("turns"))
     # where a block begins: another role than the turn before
     begins = F.filter(
         F.transform("turns", lambda x, i: F.when((i == 0) | (x["role"] != F.get("turns", i - 1)["role"]), i)), lambda i: i.isNotNull()

@@ -101,6 +101,11 @@ def release(spark: SparkSession, docs: DataFrame) -> None:
     spark.sparkContext._llm_scratch = left
 
 
+def forget(spark: SparkSession) -> None:
+    """Leave the scratch tables written so far to their owners: a frame not yet read may need them."""
+    spark.sparkContext._llm_scratch = []
+
+
 def _paths(spark: SparkSession) -> list[str]:
     sc = spark.sparkContext
     if not hasattr(sc, "_llm_scratch"):

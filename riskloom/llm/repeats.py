@@ -399,15 +399,20 @@ def without_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", n_
     text stays null.
     """
     made = _results(docs, key, text, True, True).select("sha", "first", "kept")
-    null = docs.select(*map(quoted, docs.columns)).where(F.col(quoted(text)).isNull())
-    joined = docs.where(F.col(quoted(text)).isNotNull()).select(
-        *[quoted(c) for c in docs.columns if c != text], F.unhex(F.sha2(F.col(quoted(text)), 256)).alias("__sha"), F.octet_length(quoted(text)).alias("__n")
-    ).join(made, F.col("__sha") == F.col("sha"))
-    copy = (F.coalesce(_id(docs, key), F.lit(int(NO_ID))) > F.col("first")) & (F.col("__n") >= LENGTH)
-    left = F.when(copy, F.lit("")).otherwise(F.col("kept").cast("string"))
-    out = joined.withColumn("__kept", left)
-    cols = [
-        F.col("__kept").alias(c) if c == text else F.length("__kept").cast(docs.schema[c].dataType).alias(c) if c == n_chars else F.col(quoted(c))
-        for c in docs.columns
-    ]
-    return out.select(*cols).unionByName(null)
+    # the row travels as one struct: no column name can clash
+    packed = docs.select(
+        F.struct(*map(quoted, docs.columns)).alias("row"), F.unhex(F.sha2(F.col(quoted(text)), 256)).alias("sha"),
+        F.octet_length(quoted(text)).alias("n_bytes"), _id(docs, key).alias("id"), F.col(quoted(text)).isNull().alias("none"),
+    )
+    joined = packed.where("not none").join(made, "sha")
+    copy = (F.coalesce("id", F.lit(int(NO_ID))) > F.col("first")) & (F.col("n_bytes") >= LENGTH)
+    out = joined.withColumn("left", F.when(copy, F.lit("")).otherwise(F.col("kept").cast("string")))
+
+    def cell(c: str) -> Column:
+        if c == text:
+            return F.col("left").alias(c)
+        if c == n_chars:
+            return F.length("left").cast(docs.schema[c].dataType).alias(c)
+        return F.col(f"row.{quoted(c)}").alias(c)
+
+    return out.select(*map(cell, docs.columns)).unionByName(packed.where("none").select("row.*"))

@@ -31,7 +31,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 from xxhash import xxh64_intdigest
 
-from riskloom.llm.common import quoted, scratch, text_of
+from riskloom.llm.common import quoted, scratch, spare, text_of
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -185,10 +185,11 @@ def keep_first(docs: DataFrame, key: str = "doc_id", text: str = "text", words:
     Of several rows with that id, the one whose text sorts first stays (one of equal texts).
     """
     found = near_duplicates(docs, key, text, words, seed)
-    stay = found.where(F.col(quoted(key)).eqNullSafe(F.col("component_id"))).groupBy(F.col(quoted(key)).alias("__id")).agg(F.count(F.lit(1)).alias("__n"))
+    one, n, place = spare(docs, "__id"), spare(docs, "__n"), spare(docs, "__place")
+    stay = found.where(F.col(quoted(key)).eqNullSafe(F.col("component_id"))).groupBy(F.col(quoted(key)).alias(one)).agg(F.count(F.lit(1)).alias(n))
     stay = scratch(stay, "stay")
-    same = F.col(quoted(key)).eqNullSafe(F.col("__id"))
-    single = docs.join(stay.where("__n = 1"), same, "left_semi")
-    place = F.row_number().over(Window.partitionBy(quoted(key)).orderBy(quoted(text)))
-    several = docs.join(stay.where("__n > 1"), same, "left_semi").withColumn("__place", place).where("__place = 1").drop("__place")
+    same = F.col(quoted(key)).eqNullSafe(F.col(one))
+    single = docs.join(stay.where(F.col(n) == 1), same, "left_semi")
+    first = F.row_number().over(Window.partitionBy(quoted(key)).orderBy(quoted(text)))
+    several = docs.join(stay.where(F.col(n) > 1), same, "left_semi").withColumn(place, first).where(F.col(place) == 1).drop(place)
     return single.unionByName(several)

@@ -152,8 +152,8 @@ def fit(
 ) -> ToxicityModel:
     """Fit on a bounded sample: of each class the labelled rows whose key hashes lowest.
 
-    Rows with a null key, label or text teach nothing. The class sizes of all ``labels``
-    weigh the sample.
+    Rows with a null key, label or text teach nothing; of rows that share an id, the text
+    that sorts first does. The class sizes of all ``labels`` weigh the sample.
     """
     known = labels.where(F.col(quoted(key)).isNotNull()).select(F.col(quoted(key)).alias("key"), F.col(quoted(label)).alias("y"))
     sizes = {r["y"]: r["n"] for r in known.where("y in (0, 1)").groupBy("y").agg(F.count(F.lit(1)).alias("n")).collect()}
@@ -161,7 +161,9 @@ def fit(
     for y, most in ((1, toxic_rows), (0, ordinary_rows)):
         chosen = known.where(F.col("y") == y).select("key").distinct().orderBy(F.xxhash64("key"), "key").limit(most)
         rows = docs.join(F.broadcast(chosen), docs[quoted(key)] == chosen["key"], "left_semi")
-        picked[y] = [r[0] for r in rows.where(F.col(quoted(text)).isNotNull()).orderBy(F.xxhash64(quoted(key)), quoted(key), quoted(text)).select(quoted(text)).collect()]
+        # one text an id, however often a table repeats it: at most ``most`` rows reach the driver
+        once = rows.groupBy(F.col(quoted(key)).alias("key")).agg(F.min(quoted(text)).alias("text")).where("text is not null")
+        picked[y] = [r[0] for r in once.orderBy(F.xxhash64("key"), "key").select("text").collect()]
     heavy = {y: sizes.get(y, 0) / max(1, min(sizes.get(y, 0), most)) for y, most in ((1, toxic_rows), (0, ordinary_rows))}
     return fit_texts(picked[1], picked[0], heavy[1], heavy[0])
 
@@ -172,7 +174,7 @@ def score(docs: DataFrame, model: ToxicityModel, text: str = "text", keep: list[
     Null texts count as empty; an empty text has the score of one empty window. Columns
     named score or predicted that the input has already are replaced.
     """
-    kept = [c for c in (docs.columns if keep is None else keep) if c not in ("score", "predicted")]
+    kept = [c for c in (docs.columns if keep is None else keep) if c.lower() not in ("score", "predicted")]
     fields = ", ".join(f"{quoted(f.name)} {f.dataType.simpleString()}" for f in docs.select(*map(quoted, kept)).schema.fields)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

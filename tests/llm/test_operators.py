@@ -78,6 +78,17 @@ def test_bpe(spark, awkward, chunk, overlap):
     assert bpe.encode(frame(spark, []), RANKS, P.PATTERN).count() == 0
 
 
+def test_bpe_where_neighbouring_chunks_agree_on_a_wrong_boundary(spark):
+    # digits in threes: chunks of 30 agree with each other, but not with what comes before the run
+    pattern = r"\p{N}{1,3}| ?\p{L}+|\s+|."
+    rows = [(0, "a" + "7" * 200 + " b" * 40), (1, "ab" + "12345" * 50)]
+    with open(RANKS, "rb") as f:
+        ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
+    coder = tiktoken.Encoding("own", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
+    got = {r.doc_id: r.ids for r in bpe.encode(frame(spark, rows), RANKS, pattern, chunk=30, overlap=9).collect()}
+    assert got == {i: coder.encode_ordinary(t) for i, t in rows}
+
+
 def _components(values):
     values = sorted(values)
     parent = {v: v for v in values}
@@ -197,6 +208,10 @@ def test_repeats(spark, awkward, monkeypatch, many):
     out = repeats.without_repeats(frame(spark, rows).withColumn("n_chars", F.length("text").cast("long")))
     kept = sorted((r.doc_id, r.text, r.n_chars) for r in out.collect() if r.text is not None)
     assert len(kept) == sum(t is not None for _, t in rows) and all(len(t) == n for _, t, n in kept)
+    clash = frame(spark, rows).selectExpr("*", "1 as sha", "2 as `first`", "3 as kept", "4 as __sha", "5 as `row`", "6 as __id", "7 as __n", "8 as __place")
+    for made in (repeats.without_repeats(clash), simhash.keep_first(clash), exact.dedup(clash)):
+        assert made.columns == clash.columns and made.select("sha", "kept", "__n").distinct().collect() == [(1, 3, 7)]
+    assert repeats.without_repeats(clash).count() == len(rows)
     assert repeats.remove_repeats(frame(spark, [])).count() == 0
     with pytest.raises(TypeError):
         repeats.remove_repeats(frame(spark, rows), key="g")
@@ -233,6 +248,8 @@ def test_toxicity(spark):
     assert np.mean([r.predicted == int(r.doc_id % 4 == 0) for r in held]) > 0.95
     empty = [r.score for r in got if r.doc_id in (1000, 1001)]
     assert empty[0] == empty[1]
+    again = toxicity.fit(docs.unionByName(docs).unionByName(docs), labels.where(~toxicity.held_out()))
+    assert again.toxic == model.toxic and np.array_equal(again.weights, model.weights)
     none = toxicity.fit(docs, labels.limit(0))
     assert {r.score for r in toxicity.score(docs, none).collect()} == {0.0}
     assert toxicity.score(frame(spark, []), model).count() == 0
@@ -273,6 +290,9 @@ def test_chat(spark):
         assert [(x.role, x.text) for x in r.t] == want
         assert r.l == "".join(d for b, d in want if b == "assistant")
         assert sum(x.skip + x["take"] for x in r.loss_runs) == len(r.formatted)
+    ties = [(1, 0, "user", t, "x") for t in ("a\\", "a<", "aZ", "a", "ab")]
+    tied = chat.format_chats(spark.createDataFrame(ties, "conv_id long, turn long, role string, text string, turns string"))
+    assert [x.text for x in tied.select(chat.read_turns(F.col("formatted")).alias("t")).first().t] == sorted(t for *_, t, _ in ties)
     assert made.limit(0).count() == 0 and "Python" not in made._jdf.queryExecution().toString()
 
 
