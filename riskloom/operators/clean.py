@@ -100,7 +100,8 @@ def fit_median(df: DataFrame, cols: Sequence[str], **limits: int) -> Fill:
 def mode_table(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """One row per column: its most frequent value (smallest on a tie) and the frequency.
 
-    The value sits in the slot of its type: ``num``, ``whole`` or ``text``. All columns
+    The value sits in the slot of its type: ``num``, ``whole`` or ``text``; a decimal is
+    in ``text`` too, digit by digit, as ``num`` may not hold all of them. All columns
     are counted in one aggregation; equal values combine before the shuffle.
     """
     types = {f.name: f.dataType for f in df.schema.fields}
@@ -113,7 +114,7 @@ def mode_table(df: DataFrame, cols: Sequence[str]) -> DataFrame:
             F.lit(c).alias("column"),
             (v.cast("double") if num else F.lit(None).cast("double")).alias("num"),
             (v.cast("bigint") if whole else F.lit(None).cast("bigint")).alias("whole"),
-            (v.cast("string") if not (num or whole) else F.lit(None).cast("string")).alias("text"),
+            (v.cast("string") if not (num or whole) or isinstance(t, T.DecimalType) else F.lit(None).cast("string")).alias("text"),
         )
 
     long = df.select(F.explode(F.array(*[cell(c) for c in dict.fromkeys(cols)])).alias("e")).select("e.*")
@@ -128,7 +129,8 @@ def mode_table(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 
 def fit_mode(df: DataFrame, cols: Sequence[str]) -> Fill:
     rows = mode_table(df, cols).collect()  # one row per column
-    values = {r["column"]: next(v for v in (r["num"], r["whole"], r["text"]) if v is not None) for r in rows}
+    # the text, where there is one, is the value in full
+    values = {r["column"]: next(v for v in (r["text"], r["num"], r["whole"]) if v is not None) for r in rows}
     return Fill({c: values.get(c) for c in cols})
 
 

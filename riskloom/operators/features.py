@@ -6,13 +6,18 @@ from collections.abc import Sequence
 from dataclasses import dataclass, field
 from typing import Any
 
+from pyspark.ml.linalg import VectorUDT
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from riskloom.functions import scalars as S
 from riskloom.operators.clean import with_columns
+from riskloom.operators.order import dense_positions
 from riskloom.operators.quantile import exact_quantiles
+from riskloom.operators.relational import lookup_join
 from riskloom.roles import quoted
+from riskloom.session import cut, fresh_path
 
 # Columns one table may gain through one-hot encoding before it has to stay long.
 MAX_ONE_HOT = 2_000
@@ -96,7 +101,7 @@ class OneHot:
         pairs = category_pairs(df, self.cols).limit(self.max_columns + 1).collect()
         if len(pairs) > self.max_columns:
             raise ValueError(
-                f"more than {self.max_columns} categories in {self.cols}: use one_hot_long, which has no bound"
+                f"more than {self.max_columns} categories in {self.cols}: use SparseOneHot, which has no bound"
             )
         self.categories = {c: sorted(p["value"] for p in pairs if p["column"] == c) for c in self.cols}
         return self
@@ -124,6 +129,48 @@ def one_hot_long(df: DataFrame, row_key: str, cols: Sequence[str]) -> DataFrame:
     )
 
 
+@dataclass
+class SparseOneHot:
+    """One-hot of columns with any number of categories, as one sparse vector a row.
+
+    The categories seen in fit stay a table (column, value, at); rows meet it in a join.
+    Null and unseen values set nothing, so train and test get vectors of the same size.
+    """
+
+    cols: list[str]
+    row_key: str
+    name: str = "one_hot"
+    categories: DataFrame | None = field(default=None, repr=False)
+    size: int = 0
+
+    def fit(self, df: DataFrame) -> "SparseOneHot":
+        self.categories = cut(dense_positions(category_pairs(df, self.cols), ["column", "value"], name="at"))
+        self.size = self.categories.count()
+        if self.size >= 1 << 31:
+            raise ValueError("a vector has at most 2^31 - 1 places")
+        return self
+
+    def positions(self, df: DataFrame) -> DataFrame:
+        """(row_key, at): the places set in each row that has any, one per column at most."""
+        long = one_hot_long(df, self.row_key, self.cols)
+        found = lookup_join(long, self.categories, ["column", "value"], self.row_key, how="inner")
+        return found.groupBy(quoted(self.row_key)).agg(F.sort_array(F.collect_list(F.col("at").cast("int"))).alias("at"))
+
+    def transform(self, df: DataFrame) -> DataFrame:
+        """The vector in place of the columns; written once and read again as a vector column."""
+        kept = [c for c in df.columns if c not in self.cols]
+        at = F.coalesce("at", F.array().cast("array<int>"))
+        vector = F.struct(
+            F.lit(0).cast("byte").alias("type"), F.lit(self.size).alias("size"), at.alias("indices"),
+            F.transform(at, lambda _: F.lit(1.0)).alias("values"),
+        )
+        made = df.join(self.positions(df), self.row_key, "left").select(*map(quoted, kept), vector.alias(self.name))
+        path = fresh_path(df.sparkSession, "one-hot")
+        made.write.parquet(path)
+        fields = [*made.schema.fields[:-1], T.StructField(self.name, VectorUDT())]
+        return df.sparkSession.read.schema(T.StructType(fields)).parquet(path)
+
+
 @dataclass
 class Standardize:
     """(x - mean) / population deviation; a constant column is only centred."""

@@ -19,7 +19,7 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from riskloom.operators.relational import lookup_join
+from riskloom.operators.relational import lookup_join, salt_parts
 from riskloom.session import cut
 
 # Tasks get the helpers below with their code, so that workers need no copy of the package.
@@ -28,8 +28,8 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 # Rows of each side one task holds at a time, and the sample that places the boxes.
 BLOCK = 4096
 SAMPLE = 50_000
-# Distances are compared after rounding, so that ties do not hang on the last bit.
-DIGITS = 9
+# What the order of additions may change in a distance, relative to it.
+SLACK = 1e-9
 
 
 @dataclass
@@ -91,7 +91,7 @@ def _matrix(points: pd.Series) -> np.ndarray:
 
 
 def _nearest(q: np.ndarray, c: np.ndarray, cid: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Per query the k smallest (rounded squared distance, candidate id): row, distance, column."""
+    """Per query the k smallest (squared distance, candidate id): row, distance, column."""
     rows, dists, cols = [], [], []
     step = max(1, 2_000_000 // max(1, len(c)))
     for lo in range(0, len(q), step):
@@ -100,7 +100,6 @@ def _nearest(q: np.ndarray, c: np.ndarray, cid: np.ndarray, k: int) -> tuple[np.
         for j in range(q.shape[1]):
             diff = part[:, j, None] - c[None, :, j]
             d += diff * diff
-        d = np.round(d, DIGITS)
         kk = min(k, len(c))
         bound = np.partition(d, kk - 1, axis=1)[:, kk - 1]
         r, j = np.nonzero(d <= bound[:, None])
@@ -169,8 +168,8 @@ def nearest(queries: DataFrame, candidates: DataFrame, k: int = 1, block: int =
     """(qid, cid, dist, rank): the k nearest candidates of every query, exactly.
 
     ``queries`` has (qid, x), ``candidates`` (cid, x), ids unique and whole, x an array
-    of doubles. ``dist`` is the squared Euclidean distance rounded to 9 decimals; equal
-    distances go to the smaller candidate id.
+    of doubles. ``dist`` is the squared Euclidean distance, added up in the order of the
+    dimensions; equal distances go to the smaller candidate id.
     """
     as_x = F.col("x").cast("array<double>").alias("x")
     # equal candidate points: only the k smallest ids can win
@@ -213,8 +212,7 @@ def nearest(queries: DataFrame, candidates: DataFrame, k: int = 1, block: int =
 
         @F.pandas_udf("array<int>")
         def boxes_near(x: pd.Series, own: pd.Series, limit: pd.Series) -> pd.Series:
-            # rounding may hide a difference of one unit in the last place
-            reach = limit.astype("float64").fillna(np.inf).to_numpy() + 2 * 10.0**-DIGITS
+            reach = limit.astype("float64").fillna(np.inf).to_numpy() * (1 + SLACK)
             pts, mine, out = _matrix(x), own.to_numpy(), []
             step = max(1, 2_000_000 // (len(box_ids) * dims))
             for s in range(0, len(pts), step):
@@ -246,12 +244,12 @@ def _unit(key: str):
 def _first_ids(candidates: DataFrame, k: int) -> DataFrame:
     """At most k rows per point, those with the smallest ids.
 
-    Ranked in 64 salted parts first, so that a hot point is never ranked in one task.
+    Ranked in salted parts first, so that a hot point is never ranked in one task.
     """
     part = Window.partitionBy("x", "_s").orderBy("cid")
     whole = Window.partitionBy("x").orderBy("cid")
     return (
-        candidates.withColumn("_s", F.pmod(F.xxhash64("cid"), F.lit(64)))
+        candidates.withColumn("_s", F.pmod(F.xxhash64("cid"), F.lit(salt_parts(candidates))))
         .withColumn("_r", F.row_number().over(part))
         .where(F.col("_r") <= k)
         .withColumn("_r", F.row_number().over(whole))

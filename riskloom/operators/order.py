@@ -14,6 +14,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from riskloom.operators.relational import join_null_safe
 from riskloom.roles import quoted
 from riskloom.session import cut
 
@@ -98,7 +99,7 @@ def running_totals(
         *[F.coalesce(F.sum(f"_s_{v}").over(before), F.lit(0)).alias(f"_b_{v}") for v in values],
         *[F.sum(f"_s_{v}").over(by_group).alias(f"total_{v}") for v in values],
     )
-    return local.join(carry, piece).select(
+    return join_null_safe(local, carry, piece).select(
         *[F.col(quoted(c)) for c in keep],
         *[(F.col(f"cum_{v}") + F.col(f"_b_{v}")).alias(f"cum_{v}") for v in values],
         *[f"total_{v}" for v in values],

@@ -66,7 +66,7 @@ def profile(df: DataFrame, digits: int | None = None, with_missing: bool = True,
     out = mode_table(df, df.columns).select(
         "column",
         F.coalesce("num", F.col("whole").cast("double")).alias("mode_num"),
-        F.col("text").alias("mode_text"),
+        F.when(F.col("num").isNull(), F.col("text")).alias("mode_text"),
     )
     out = missing_counts(df).join(out, "column", "left").join(describe(df, **limits), "column", "left")
     if not with_missing:

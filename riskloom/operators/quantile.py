@@ -36,7 +36,8 @@ class _Bracket:
 
 
 def _num(name: str) -> str:
-    return f"cast({quoted(name)} as double)"
+    # NaN is no value: it would be the largest of all
+    return f"nullif(cast({quoted(name)} as double), double('NaN'))"
 
 
 def _at(value: float) -> str:

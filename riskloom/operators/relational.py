@@ -4,21 +4,52 @@ from __future__ import annotations
 
 import itertools
 from collections.abc import Mapping, Sequence
+from functools import reduce
 from typing import Any
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from riskloom.roles import quoted
 from riskloom.session import cut
 
-# A lookup side is broadcast only when a count has shown it to be at most this long.
+# A lookup side is broadcast only when it has been measured to be at most this long and wide.
 BROADCAST_ROWS = 200_000
+BROADCAST_BYTES = 64 << 20
 
 
-def is_small(side: DataFrame, rows: int = BROADCAST_ROWS) -> bool:
-    """Count the side: for a Parquet table that reads the footers only."""
-    return side.count() <= rows
+def _width(name: str, kind: T.DataType) -> Column:
+    """Bytes of a cell: measured where the type does not fix them."""
+    c = F.col(quoted(name))
+    if isinstance(kind, (T.StringType, T.BinaryType)):
+        return F.coalesce(F.octet_length(c), F.lit(0)) + 16
+    if isinstance(kind, T.ArrayType) and isinstance(kind.elementType, (T.NumericType, T.BooleanType, T.DateType)):
+        return F.coalesce(F.size(c), F.lit(0)) * 8 + 32
+    if isinstance(kind, (T.NumericType, T.BooleanType, T.DateType, T.TimestampType, T.TimestampNTZType)):
+        return F.lit(16)
+    return F.coalesce(F.octet_length(F.to_json(F.struct(c))), F.lit(0)) + 16
+
+
+def is_small(side: DataFrame, rows: int = BROADCAST_ROWS, size: int = BROADCAST_BYTES) -> bool:
+    """Whether a side is short and light enough to broadcast, by one scan of it."""
+    width = sum((_width(f.name, f.dataType) for f in side.schema.fields), F.lit(0))
+    n, total = side.agg(F.count(F.lit(1)), F.sum(width.cast("bigint"))).first()
+    return n <= rows and (total or 0) <= size
+
+
+def salt_parts(df: DataFrame) -> int:
+    """Salts of a hot key: as many as there are shuffle partitions to fill."""
+    return max(64, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+
+
+def join_null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Inner join in which a null key equals a null key; the keys come from the left side."""
+    named = right.select(
+        *[F.col(quoted(k)).alias(f"_k{i}") for i, k in enumerate(keys)], *[F.col(quoted(c)) for c in right.columns if c not in keys]
+    )
+    same = [F.col(quoted(k)).eqNullSafe(F.col(f"_k{i}")) for i, k in enumerate(keys)]
+    return left.join(named, reduce(Column.__and__, same)).drop(*[f"_k{i}" for i in range(len(keys))])
 
 
 def hot_hashes(df: DataFrame, keys: Sequence[str], parts: int) -> list[int]:
@@ -37,18 +68,19 @@ def lookup_join(
     keys: Sequence[str],
     row_key: str,
     how: str = "left",
-    parts: int = 64,
+    parts: int | None = None,
     broadcast_rows: int = BROADCAST_ROWS,
 ) -> DataFrame:
     """Join ``df`` with a ``side`` that has one row per key.
 
     A side of checked size is broadcast. Otherwise both sides shuffle on the key, and
-    keys that hold 1/parts of ``df`` or more are spread over ``parts`` salts, their
+    keys that hold 1/parts of ``df`` or more (``parts``: the shuffle partitions) are spread over ``parts`` salts, their
     single ``side`` row being repeated for each salt. ``row_key`` identifies a row of
     ``df``, so that a recomputed task salts the same way.
     """
     if is_small(side, broadcast_rows):
         return df.join(F.broadcast(side), list(keys), how)
+    parts = parts or salt_parts(df)
     hot = hot_hashes(df, keys, parts)
     if not hot:
         return df.join(side, list(keys), how)
@@ -84,11 +116,6 @@ def union_by_name(*frames: DataFrame) -> DataFrame:
     return out
 
 
-def complement_role(condition: Column, yes: str = "test", no: str = "train") -> Column:
-    """One column that tells a set from its complement; null conditions go to the complement."""
-    return F.when(condition, F.lit(yes)).otherwise(F.lit(no))
-
-
 def upsert(table: DataFrame, rows: DataFrame, key: Sequence[str]) -> DataFrame:
     """Add ``rows`` to a result table; for an existing key the new row wins.
 
@@ -133,9 +160,3 @@ def best_worst(results: DataFrame, model: str, metrics: Sequence[str]) -> DataFr
 def materialise(df: DataFrame) -> DataFrame:
     """Compute once and continue from the reliable copy."""
     return cut(df)
-
-
-def latest_per_key(table: DataFrame, key: Sequence[str], written: str) -> DataFrame:
-    """Last write wins over a log of result rows."""
-    last = Window.partitionBy(*key).orderBy(F.desc(written))
-    return table.withColumn("_r", F.row_number().over(last)).where("_r = 1").drop("_r")

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from riskloom.functions import scalars as S
 from riskloom.operators.order import dense_positions, ranged
+from riskloom.operators.relational import join_null_safe
 from riskloom.roles import quoted
 
 
@@ -143,7 +144,7 @@ def bootstrap_groups(
     by_type = ", ".join(f"{g} {members.schema[g].dataType.simpleString()}" for g in group)
     lead = by_type + ", " if by_type else ""
     shift = spark.createDataFrame(starts, f"{lead}_pid int, shift bigint")
-    placed = rows.join(F.broadcast(shift), [*group, "_pid"]).select(
+    placed = join_null_safe(rows, F.broadcast(shift), [*group, "_pid"]).select(
         *group, quoted(key), (F.col("_idx") + F.col("shift")).alias("pos")
     )
     draws = None
@@ -157,7 +158,7 @@ def bootstrap_groups(
         draws = one if draws is None else draws.unionByName(one)
     at = F.pmod(S.keyed_hash(seed, *[F.col(c) for c in group], F.col("replicate"), F.col("id")), F.col("size"))
     mult = draws.groupBy(*group, "replicate", at.alias("pos")).agg(F.count(F.lit(1)).alias("mult"))
-    return mult.join(placed, [*group, "pos"]).select(*group, "replicate", quoted(key), "mult")
+    return join_null_safe(mult, placed, [*group, "pos"]).select(*group, "replicate", quoted(key), "mult")
 
 
 def bootstrap(df: DataFrame, key: str, pct: float, seed: int = 0) -> DataFrame:

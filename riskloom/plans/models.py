@@ -22,6 +22,7 @@ from pyspark.ml.classification import (
 )
 from pyspark.ml.feature import VectorAssembler, VectorSlicer
 from pyspark.ml.functions import vector_to_array
+from pyspark.ml.linalg import VectorUDT
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -50,8 +51,9 @@ KINDS = (
 
 
 def assemble(df: DataFrame, features: Sequence[str], weight: str | None = None, keep: Sequence[str] = ()) -> DataFrame:
-    """(row_id, label, keep..., w, features): the table all fits read."""
-    cols = [F.col(f"`{c}`").cast("double").alias(f"_x{i}") for i, c in enumerate(features)]
+    """(row_id, label, keep..., w, features): the table all fits read. A feature may be a vector."""
+    cells = [F.col(f"`{c}`") if isinstance(df.schema[c].dataType, VectorUDT) else F.col(f"`{c}`").cast("double") for c in features]
+    cols = [x.alias(f"_x{i}") for i, x in enumerate(cells)]
     w = F.col(weight).cast("double") if weight else F.lit(1.0)
     wide = df.select("row_id", F.col("label").cast("double").alias("label"), *keep, w.alias("w"), *cols)
     maker = VectorAssembler(inputCols=[f"_x{i}" for i in range(len(features))], outputCol="features")
@@ -74,8 +76,32 @@ def _depth(max_depth: int | None) -> int:
     return int(max_depth)
 
 
+# Parameters of each kind that a search may set.
+PARAMETERS = {
+    "logistic": {"C", "fit_intercept", "max_iter"},
+    "knn": {"n_neighbors"},
+    "linear_svc": {"C", "fit_intercept", "max_iter"},
+    "tree": {"criterion", "max_depth", "max_features"},
+    "forest": {"criterion", "max_depth", "max_features", "n_estimators"},
+    "bagging": {"n_estimators", "base_estimator", "max_features", "max_samples"},
+    "gbt": {"n_estimators", "learning_rate", "max_depth"},
+    "adaboost": {"n_estimators", "learning_rate"},
+    "constant": set(),
+}
+
+
+def check_parameters(kind: str, params: dict[str, Any]) -> None:
+    """A misspelt or unsupported parameter must not pass for its default."""
+    if kind not in PARAMETERS:
+        raise ValueError(f"unknown kind of model: {kind}")
+    unknown = sorted(set(params) - PARAMETERS[kind])
+    if unknown:
+        raise ValueError(f"{kind} has no parameter {', '.join(unknown)}")
+
+
 def estimator(kind: str, params: dict[str, Any], rows: float, seed: int):
     """The Spark ML estimator of a kind; ``rows`` scales the penalty to a mean loss."""
+    check_parameters(kind, params)
     common = {"featuresCol": "features", "labelCol": "label", "weightCol": "w"}
     if kind == "logistic":
         return LogisticRegression(
@@ -254,14 +280,16 @@ def _fit_bagging(train: DataFrame, params: dict[str, Any], rows: float, width: i
         count,
         seed,
     )
-    draws = cut(draws.select("replicate", "row_id", "mult"))
+    # how often each member drew a row travels with the row: one join for all members
+    drawn = draws.groupBy("row_id").agg(F.map_from_entries(F.collect_list(F.struct("replicate", "mult"))).alias("drawn"))
+    bag = placed(train.join(drawn, "row_id"))
     members = []
     for i in range(count):
         # a seeded choice of feature positions, kept in order
         ranked = sorted(range(width), key=lambda j: _mix(seed, i, j))
         keep = sorted(ranked[:picked])
-        mine = draws.where(F.col("replicate") == i).select("row_id", "mult")
-        sample = train.join(mine, "row_id").withColumn("w", F.col("w") * F.col("mult"))
+        times = F.try_element_at("drawn", F.lit(i))
+        sample = bag.where(times.isNotNull()).withColumn("w", F.col("w") * times).drop("drawn")
         sample = VectorSlicer(inputCol="features", outputCol="_f", indices=keep).transform(sample)
         est = estimator(base, base_params, rows * params.get("max_samples", 1.0), seed + i).setFeaturesCol("_f")
         members.append((keep, est.fit(sample), base))
@@ -309,6 +337,7 @@ def _fit_adaboost(train: DataFrame, params: dict[str, Any], seed: int) -> Fitted
 
 def fit(kind: str, train: DataFrame, params: dict[str, Any], features: Sequence[str], seed: int = 0):
     """Fit on an assembled table. Rows are placed by key first, so that a seed fixes the result."""
+    check_parameters(kind, params)
     if kind == "constant":
         return FittedConstant()
     if kind == "knn":

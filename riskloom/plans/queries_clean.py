@@ -16,6 +16,7 @@ from riskloom.plans.registry import on_cohort, query
 from riskloom.roles import Roles, select_by_role as by_role, tag_roles
 from riskloom.session import fresh_path
 from riskloom.sources.csv import read_csv, write_csv
+from riskloom.sources.report import read_report, write_report
 from riskloom.sources.tables import cohort, cohort_table, table
 
 COHORT_ROLES = Roles(
@@ -41,6 +42,28 @@ def csv_roundtrip(spark, folder):
     return read_csv(spark, path, schema)
 
 
+@query("""select doc_id as row_id, nullif(text, '') as text, lang, source, n_chars,
+  timestamp '2020-01-02 03:04:05.123456' as read_at from documents""")
+def csv_text(spark, folder):
+    """Whole texts with quotes and line breaks, and a time with its fraction; an empty text is an empty cell, so null."""
+    docs = table(spark, folder, "documents").select("doc_id", "text", "lang", "source", F.col("n_chars").cast("bigint").alias("n_chars"))
+    path = fresh_path(spark, "text-csv")
+    write_csv(docs.withColumn("read_at", F.expr("timestamp'2020-01-02 03:04:05.123456'")), path)
+    return read_csv(spark, path, "doc_id bigint, text string, lang string, source string, n_chars bigint, read_at timestamp")
+
+
+@query(on_cohort("""select 'missing' as part, 'acctbal' as name, count(*) filter (where acctbal is null) as n from cohort
+union all select 'missing', 'segment', count(*) filter (where segment is null) from cohort
+union all select 'segment', segment, count(*) from cohort where segment is not null group by segment"""))
+def report_tables(spark, folder):
+    """Parts of a report, written as tables and read back."""
+    rows = cohort_table(spark, folder, "acctbal", "segment")
+    path = fresh_path(spark, "report")
+    write_report({"missing": P.missing_counts(rows), "segment": P.value_counts(rows, "segment")}, path)
+    parts = [read_report(spark, path, name).toDF("name", "n").select(F.lit(name).alias("part"), "name", "n") for name in ("missing", "segment")]
+    return parts[0].unionByName(parts[1])
+
+
 @query("""select d.doc_id as row_id, d.lang, d.source, l.quality, l.toxic
 from documents d left join labels l on l.doc_id = d.doc_id""")
 def csv_options(spark, folder):
@@ -187,20 +210,20 @@ def impute_group_mean(spark, folder):
 
 
 @query(on_cohort("""
-, have as (select row_id, acctbal, qty, disc from cohort
-           where acctbal is not null and qty is not null and disc is not null),
+, have as (select row_id, acctbal, qty, total from cohort
+           where acctbal is not null and qty is not null and total is not null),
 best as (
   select q.row_id,
-         arg_min(h.acctbal, {'d': round((q.qty - h.qty) * (q.qty - h.qty) + (q.disc - h.disc) * (q.disc - h.disc), 9),
+         arg_min(h.acctbal, {'d': (q.qty - h.qty) * (q.qty - h.qty) + (q.total - h.total) * (q.total - h.total),
                              'id': h.row_id}) as v
   from cohort q cross join have h
-  where q.acctbal is null and q.qty is not null and q.disc is not null
+  where q.acctbal is null and q.qty is not null and q.total is not null
   group by q.row_id)
-select c.row_id, c.qty, round(c.disc, 6) as disc, coalesce(c.acctbal, b.v) as acctbal
+select c.row_id, c.qty, c.total, coalesce(c.acctbal, b.v) as acctbal
 from cohort c left join best b on b.row_id = c.row_id""".replace("\n, have", ", have", 1)))
 def impute_1nn(spark, folder):
-    part = cohort_table(spark, folder, "row_id", "qty", "disc", "acctbal")
-    return impute_nearest(part, "acctbal", ["qty", "disc"], "row_id")
+    part = cohort_table(spark, folder, "row_id", "qty", "total", "acctbal")
+    return impute_nearest(part, "acctbal", ["qty", "total"], "row_id")
 
 
 @query(on_cohort("""select row_id, case when acctbal is null then 1 else 0 end as acctbal_missing,
@@ -313,6 +336,17 @@ def one_hot_long(spark, folder):
     return X.one_hot_long(cohort(spark, folder), "row_id", ["segment", "priority"])
 
 
+@query("""with c as (select distinct c_name as v, 'c_name' as col from customer where c_acctbal >= 0
+  union select distinct c_mktsegment, 'c_mktsegment' from customer where c_acctbal >= 0),
+at as (select col, v, row_number() over (order by col, v) - 1 as place from c)
+select c_custkey as row_id, place from customer join at on (col = 'c_name' and v = c_name) or (col = 'c_mktsegment' and v = c_mktsegment)""")
+def one_hot_sparse(spark, folder):
+    """Places set by a column of unbounded categories, fitted on customers without debt and applied to all."""
+    rows = table(spark, folder, "customer").select(F.col("c_custkey").alias("row_id"), "c_name", "c_mktsegment", "c_acctbal")
+    made = X.SparseOneHot(["c_name", "c_mktsegment"], "row_id").fit(rows.where("c_acctbal >= 0"))
+    return made.positions(rows).select("row_id", F.explode("at").alias("place")).withColumn("place", F.col("place").cast("bigint"))
+
+
 @query(on_cohort("""select row_id, round((total - avg(total) over ()) / stddev_pop(total) over (), 6) + 0 as total,
   round((acctbal - avg(acctbal) over ()) / stddev_pop(acctbal) over (), 6) + 0 as acctbal from cohort"""))
 def standardize(spark, folder):
@@ -444,7 +478,7 @@ with parts as (
   from embeddings),
 pairs as (
   select q.vec_id, t.vec_id as cid, t.label,
-         round(list_sum(list_transform(list_zip(q.x, t.x), lambda p: (p[1] - p[2]) * (p[1] - p[2]))), 9) as d
+         list_sum(list_transform(list_zip(q.x, t.x), lambda p: (p[1] - p[2]) * (p[1] - p[2]))) as d
   from parts q cross join parts t where q.is_test and not t.is_test),
 near as (select *, row_number() over (partition by vec_id order by d, cid) as r from pairs),
 votes as (select vec_id, label, count(*) as n from near where r <= 5 group by vec_id, label)

@@ -8,13 +8,15 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from riskloom.operators import evaluate as E
+from riskloom.operators import relational as R
 from riskloom.operators import split as SP
+from riskloom.operators.features import SparseOneHot
 from riskloom.plans import models as M
 from riskloom.plans import search
 from riskloom.plans.recipe import FeatureRecipe, feature_columns
 from riskloom.plans.registry import query
 from riskloom.session import cut
-from riskloom.sources.tables import cohort
+from riskloom.sources.tables import cohort, table
 
 SKIP = ["row_id", "label", "role"]
 
@@ -55,6 +57,17 @@ def fit_logistic(spark, folder):
     return _scores(spark, folder, "logistic", {"C": 10.0})
 
 
+@query()
+def fit_sparse_logistic(spark, folder):
+    """A column with a category per customer, as a sparse vector that train and test share."""
+    known = clients(spark, folder).select("row_id", "label", "enrolled_yr", "qty", "total")
+    names = table(spark, folder, "orders").select(F.col("o_orderkey").alias("row_id"), F.col("o_custkey").cast("string").alias("client"))
+    rows = cut(SP.time_split(R.index_join(known, names, "row_id").na.drop(subset=["qty", "total"]), "enrolled_yr", 1999).drop("enrolled_yr"))
+    made = SparseOneHot(["client"], "row_id").fit(rows.where("role = 'train'")).transform(rows)
+    train, test = SP.role_frames(made)
+    return M.fit_predict("logistic", train, test, ["qty", "total", "one_hot"], {"C": 1.0})
+
+
 @query()
 def fit_linear_svc(spark, folder):
     return _scores(spark, folder, "linear_svc", {"C": 1.0, "max_iter": 30})

@@ -25,7 +25,8 @@ def read_csv(
 
     Doubled quotes and line breaks inside quotes are read as written, so a file is read by
     one task: large tables come in many part files. Give a schema for them: without one the
-    types are inferred by an extra scan. A cell that does not fit its type raises.
+    types are inferred by an extra scan. A cell that does not fit its type raises;
+    an empty one is null, quoted or not.
     """
     reader = (
         spark.read.option("header", True)
@@ -44,4 +45,5 @@ def read_csv(
 
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite", null_token: str = "") -> None:
     """One directory of CSV parts with header; ``mode='append'`` adds to it."""
-    df.write.mode(mode).option("header", True).option("nullValue", null_token).options(**_TEXT).csv(path)
+    kept = {"ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}  # the writer trims by default
+    df.write.mode(mode).option("header", True).option("nullValue", null_token).options(**_TEXT, **kept).csv(path)

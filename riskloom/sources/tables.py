@@ -21,7 +21,7 @@ def clean_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 def cohort(spark: SparkSession, folder: str) -> DataFrame:
     """One row per order stands for one client; some cells are null by key."""
     lines = (
-        table(spark, folder, "lineitem")
+        clean_table(spark, folder, "lineitem")
         .groupBy("l_orderkey")
         .agg(
             F.max(F.when(F.col("l_returnflag") == "R", 1).otherwise(0)).alias("label"),
@@ -31,8 +31,8 @@ def cohort(spark: SparkSession, folder: str) -> DataFrame:
             F.avg("l_discount").alias("disc"),
         )
     )
-    customers = table(spark, folder, "customer").select("c_custkey", "c_acctbal", "c_mktsegment", "c_nationkey")
-    orders = table(spark, folder, "orders").withColumnRenamed("o_custkey", "c_custkey")
+    customers = clean_table(spark, folder, "customer").select("c_custkey", "c_acctbal", "c_mktsegment", "c_nationkey")
+    orders = clean_table(spark, folder, "orders").withColumnRenamed("o_custkey", "c_custkey")
     known = lookup_join(orders, customers, ["c_custkey"], "o_orderkey", how="inner")
     joined = known.join(lines, known["o_orderkey"] == lines["l_orderkey"], "left")
 

@@ -93,7 +93,7 @@ def test_grid_and_subsets():
 def brute(queries, cands, k):
     out = {}
     for q, x in queries:
-        d = sorted((round(float(((np.array(x) - np.array(y)) ** 2).sum()), 9), c) for c, y in cands)
+        d = sorted((sum((a - b) * (a - b) for a, b in zip(x, y)), c) for c, y in cands)
         out[q] = d[:k]
     return out
 
