@@ -338,8 +338,8 @@ def one_hot_long(spark, folder):
 
 @query("""with c as (select distinct c_name as v, 'c_name' as col from customer where c_acctbal >= 0
   union select distinct c_mktsegment, 'c_mktsegment' from customer where c_acctbal >= 0),
-at as (select col, v, row_number() over (order by col, v) - 1 as place from c)
-select c_custkey as row_id, place from customer join at on (col = 'c_name' and v = c_name) or (col = 'c_mktsegment' and v = c_mktsegment)""")
+places as (select col, v, row_number() over (order by col, v) - 1 as place from c)
+select c_custkey as row_id, place from customer join places on (col = 'c_name' and v = c_name) or (col = 'c_mktsegment' and v = c_mktsegment)""")
 def one_hot_sparse(spark, folder):
     """Places set by a column of unbounded categories, fitted on customers without debt and applied to all."""
     rows = table(spark, folder, "customer").select(F.col("c_custkey").alias("row_id"), "c_name", "c_mktsegment", "c_acctbal")
