@@ -180,16 +180,34 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", wo
 
 
 def keep_first(docs: DataFrame, key: str = "doc_id", text: str = "text", words: int = 3, seed: int = 42) -> DataFrame:
-    """The rows of ``docs`` that stay: of each component the row with the smallest id.
+    """The rows of ``docs`` that stay: of each component the row with the smallest id, null ids last.
 
-    Of several rows with that id, the one whose text sorts first stays (one of equal texts).
+    Of several rows of a component with that id, the one whose text sorts first stays (one
+    of equal texts). Rows are told apart by a number of their own, never by their id: equal
+    or null ids in other components neither drop nor keep a row.
     """
-    found = near_duplicates(docs, key, text, words, seed)
-    one, n, place = spare(docs, "__id"), spare(docs, "__n"), spare(docs, "__place")
-    stay = found.where(F.col(quoted(key)).eqNullSafe(F.col("component_id"))).groupBy(F.col(quoted(key)).alias(one)).agg(F.count(F.lit(1)).alias(n))
-    stay = scratch(stay, "stay")
-    same = F.col(quoted(key)).eqNullSafe(F.col(one))
-    single = docs.join(stay.where(F.col(n) == 1), same, "left_semi")
-    first = F.row_number().over(Window.partitionBy(quoted(key)).orderBy(quoted(text)))
-    several = docs.join(stay.where(F.col(n) > 1), same, "left_semi").withColumn(place, first).where(F.col(place) == 1).drop(place)
-    return single.unionByName(several)
+    place = spare(docs, "__place")
+    rows = scratch(docs.withColumn(place, F.monotonically_increasing_id()), "rows")
+    at = F.struct(F.col(place).alias("place"), F.col(quoted(key)).alias("id")).alias("at")
+    made = fingerprints(rows.select(at, F.col(quoted(text)).alias("text")), "at", "text", words, seed)
+    made = scratch(made.select("id.place", "id.id", "fp"), "fingerprints")
+
+    # the smallest id, how many rows have it, and one of them: of each fingerprint, then of each component
+    least = F.min(F.struct(F.col("id").isNull().alias("none"), "id", "n", "place")).alias("least")
+    nodes = made.groupBy("fp", "id").agg(F.count(F.lit(1)).alias("n"), F.min("place").alias("place"))
+    nodes = scratch(nodes.groupBy("fp").agg(least).select("fp", "least.id", "least.n", "least.place"), "nodes")
+    rooted = components(links(nodes))
+    joined = nodes.join(rooted, nodes["fp"] == rooted["node"], "left").select("fp", "id", "n", "place", F.coalesce("root", "fp").alias("root"))
+    joined = scratch(joined, "rooted")
+    first = joined.groupBy("root", "id").agg(F.sum("n").alias("n"), F.min("place").alias("place"))
+    first = scratch(first.groupBy("root").agg(least).select("root", "least.id", "least.n", "least.place"), "first")
+
+    # only where several rows of a component share its smallest id are texts compared
+    tied = first.where("n > 1").select(F.col("root").alias("tied"), F.col("id").alias("tied_id"))
+    fps = joined.join(tied, (F.col("root") == F.col("tied")) & F.col("id").eqNullSafe(F.col("tied_id"))).select(F.col("fp").alias("tied_fp"), "tied", "tied_id")
+    fps = scratch(fps, "tied")
+    several = made.join(fps, (F.col("fp") == F.col("tied_fp")) & F.col("id").eqNullSafe(F.col("tied_id"))).select(F.col("place").alias("at"), "tied")
+    texts = rows.select(F.col(place).alias("place"), F.col(quoted(text)).alias("text"))
+    chosen = texts.join(several, F.col("place") == F.col("at")).groupBy("tied").agg(F.min(F.struct("text", "place")).alias("least"))
+    stay = first.where("n = 1").select("place").unionByName(chosen.select("least.place"))
+    return rows.join(stay.withColumnRenamed("place", place), place, "left_semi").drop(place)

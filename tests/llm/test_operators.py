@@ -129,6 +129,25 @@ def test_simhash(spark, awkward):
     assert simhash.near_duplicates(frame(spark, [])).count() == 0 and simhash.keep_first(frame(spark, [])).count() == 0
 
 
+def test_near_copies_are_told_apart_by_row_not_by_id(spark):
+    rnd = random.Random(8)
+    plain = [" ".join(f"w{rnd.randrange(10**6)}" for _ in range(30)) for _ in range(12)]
+    rows = [(None, t) for t in plain[:4]]  # unrelated texts without an id
+    rows += [(5, t) for t in plain[4:7]]  # unrelated texts of one id
+    rows += [(3, plain[7]), (5, plain[7].upper())]  # id 5 again, in the component of id 3
+    rows += [(None, plain[8]), (9, plain[8].title()), (None, plain[9].upper()), (None, plain[9])]
+    rows += [(5, plain[10]), (5, plain[10].upper()), (None, plain[10].title()), (5, plain[10]), (None, None), (None, "")]
+    root = _components({_fingerprint(t) for _, t in rows})
+    parts = {}
+    for i, t in rows:
+        parts.setdefault(root[_fingerprint(t)], []).append((i is None, i or 0, t or "", (i, t)))
+    assert len(parts) == 12
+    want = [min(p, key=lambda x: (*x[:3], x[3][1] is not None))[3] for p in parts.values()]
+    order = lambda r: (r[0] is None, r[0] or 0, r[1] is None, r[1] or "")
+    got = simhash.keep_first(frame(spark, rows)).select("doc_id", "text").collect()
+    assert sorted(map(tuple, got), key=order) == sorted(want, key=order)
+
+
 @pytest.mark.parametrize("small", [64, 3])
 def test_links_connect_alike_in_small_and_large_buckets(spark, monkeypatch, small):
     monkeypatch.setattr(simhash, "SMALL", small)
