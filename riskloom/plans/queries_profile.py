@@ -6,7 +6,8 @@ from pyspark.sql import functions as F
 
 from riskloom.operators import profile as P
 from riskloom.operators.clean import mode_table
-from riskloom.plans.registry import on_cohort, query
+from riskloom.plans.registry import COHORT, on_cohort, query
+from riskloom.session import cut
 from riskloom.sources.tables import cohort, cohort_table, table
 
 _NUMBERS = ("row_id", "label", "enrolled_yr", "qty", "disc", "total", "acctbal")
@@ -218,3 +219,82 @@ def null_crosstab(spark, folder):
 from lineitem""")
 def scalar_aggs(spark, folder):
     return P.scalar_summary(table(spark, folder, "lineitem"), "l_extendedprice")
+
+
+# Every column of the cohort and of lineitem. The mean discount comes from a decimal sum, so that
+# it does not depend on the order in which an engine adds; else the queries are as those above.
+_EVERY = ("row_id", "label", "enrolled", "enrolled_yr", "first_ship", "last_ship", "qty", "disc", "total", "acctbal", *_TEXTS)
+_LINE_NUMBERS = ("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount", "l_tax")
+_LINE_TEXTS = ("l_returnflag", "l_linestatus", "l_shipdate")
+
+
+def _on_exact(body: str) -> str:
+    exact = "cast(sum(cast(l_discount as decimal(28,6))) as double) / count(l_discount) as disc"
+    return f"with {COHORT.strip().replace('avg(l_discount) as disc', exact)}\n{body}"
+
+
+def _every(spark, folder):
+    return cohort(spark, folder, exact=True).select(*_EVERY)
+
+
+@query(_on_exact(_profile_cte(_EVERY) + "select * from prof"))
+def profile_stats_all(spark, folder):
+    return P.profile(cut(_every(spark, folder)))
+
+
+@query(
+    _on_exact(
+        _profile_cte(_EVERY)
+        + """select "column", missing, case when "column" <> 'label' then mode_num end as mode_num,
+  case when "column" <> 'label' then mode_text end as mode_text, mean,
+  case when "column" <> 'label' then std end as std, case when "column" <> 'label' then min end as min,
+  case when "column" <> 'label' then median end as median, case when "column" <> 'label' then max end as max from prof"""
+    )
+)
+def profile_masked_all(spark, folder):
+    return P.mask_profile(P.profile(cut(_every(spark, folder))), "label")
+
+
+def _line_modes_sql() -> str:
+    def row(c: str) -> str:
+        num = "cast(v as double)" if c in _LINE_NUMBERS else "cast(null as double)"
+        text = "cast(null as varchar)" if c in _LINE_NUMBERS else "cast(v as varchar)"
+        return (
+            f"select '{c}' as \"column\", {num} as mode_num, {text} as mode_text, n as freq from (select {c} as v, count(*) as n "
+            f"from lineitem where {c} is not null group by {c} order by n desc, v limit 1)"
+        )
+
+    return _each(_LINE_NUMBERS + _LINE_TEXTS, row)
+
+
+@query(_line_modes_sql())
+def column_modes_all(spark, folder):
+    modes = mode_table(table(spark, folder, "lineitem"), [*_LINE_NUMBERS, *_LINE_TEXTS])
+    return modes.select(
+        "column",
+        F.coalesce("num", F.col("whole").cast("double")).alias("mode_num"),
+        F.col("text").alias("mode_text"),
+        "freq",
+    )
+
+
+@query(_on_exact(_missing_sql(_EVERY)))
+def missing_counts_all(spark, folder):
+    return P.missing_counts(_every(spark, folder))
+
+
+@query(_on_exact(f"select count(*) filter (where missing > 0) as columns_with_missing from ({_missing_sql(_EVERY)})"))
+def cols_with_missing_all(spark, folder):
+    return P.columns_with_missing(_every(spark, folder))
+
+
+@query(
+    _on_exact(
+        _each(
+            _EVERY,
+            lambda c: f"select '{c}' as \"column\", count({c}) as not_null, count(*) - count({c}) as is_null from cohort",
+        )
+    )
+)
+def null_crosstab_all(spark, folder):
+    return P.null_crosstab(_every(spark, folder))

@@ -128,3 +128,24 @@ def test_bootstrap_time_cv_sizes_and_membership(spark):
     assert {sums[0, "train", 0], sums[0, "test", 1]} == {40} and sums[1, "train", 2] == 80
     assert out.where("fold = 0 and role = 'train' and id % 4 <> 0").count() == 0
     assert out.where("fold = 1 and role = 'test' and id % 4 <> 2").count() == 0
+
+
+def test_every_column_is_profiled_and_agrees_with_sql(spark, sf):
+    import duckdb
+
+    import __spark_entry__ as entry
+    from riskloom.sources.tables import cohort, table
+
+    db = duckdb.connect()
+    for name in ("lineitem", "orders", "customer"):
+        db.execute(f"create view {name} as select * from '{sf}/{name}.parquet'")
+    whole = {"column_modes_all": table(spark, sf, "lineitem").columns}
+    of_cohort = cohort(spark, sf).columns
+    for name in ("profile_stats_all", "profile_masked_all", "column_modes_all", "missing_counts_all", "cols_with_missing_all", "null_crosstab_all"):
+        got = entry.queries()[name](spark, sf)
+        want = db.execute(entry.oracle_sql()[name])
+        names = [c[0] for c in want.description]
+        rows = [tuple(r) for r in got.select(*names).collect()]
+        assert sorted(rows, key=repr) == sorted(want.fetchall(), key=repr), name
+        if "column" in names:
+            assert sorted(r[names.index("column")] for r in rows) == sorted(whole.get(name, of_cohort)), name
