@@ -99,3 +99,23 @@ def test_bootstrap_search_and_comparison(planted):
     assert len(out) == 2 and all(0.8 < r["auc_roc"] <= 1 for r in out)
     table = search.compare_models(data.drop("yr"), ["a", "b"], grids, folds=2).collect()
     assert {r["model"] for r in table} == {"DT", "LR", "baseline"}
+
+
+def test_full_final_comparison_takes_the_studys_four_models(spark, sf, monkeypatch):
+    from riskloom.plans import queries_model, registry
+
+    seen = {}
+
+    def compare(train, test, features, chosen, seed):
+        seen.update(chosen)
+        return spark.range(1)
+
+    monkeypatch.setattr(queries_model, "prepared", lambda *_: (None, None, []))
+    monkeypatch.setattr(search, "final_comparison", compare)
+    registry.QUERIES["final_comparison_full"](spark, sf).collect()
+    assert {m: (kind, p.get("n_estimators"), p.get("max_depth", p.get("base_estimator", (0, {}))[1].get("max_depth")), t) for m, (kind, p, t) in seen.items()} == {
+        "Random Forest": ("forest", 25, None, 0.25),
+        "Bagging": ("bagging", 15, None, 0.3),
+        "Boosting": ("gbt", 200, 3, 0.2),
+        "bagging": ("bagging", 5, None, 0.45),
+    }
