@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskloom.llm import bpe, chat, counts, exact, graph, importance, packing, repeats, simhash, toxicity
+from riskloom.llm import bpe, centroids, chat, counts, exact, graph, importance, packing, phrases, repeats, simhash, toxicity, urls
 from riskloom.session import prepare
 
 QUERIES = {}
@@ -120,3 +120,76 @@ def op8_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     docs = counts.masking_edits(read(spark, folder, "documents").select("doc_id", "text"), r"\d{3,}", "000")
     made = counts.count_tokens(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN, "edits")
     return made.select("doc_id", "n_tokens", "n_edits", "n_tokens_edited", "n_encoded", F.sha2("edited", 256).alias("edited_sha256"))
+
+
+@register
+def op11_centroids(spark: SparkSession, folder: str) -> DataFrame:
+    return centroids.cluster(read(spark, folder, "embeddings"))
+
+
+@register
+def op12_collocations(spark: SparkSession, folder: str) -> DataFrame:
+    made = phrases.collocations(read(spark, folder, "documents"))
+    return made.withColumn("rank", F.col("rank").cast("long"))
+
+
+SQL["op12_collocations"] = r"""
+with pieces as (
+  select coalesce(lang, 'und') as lang,
+         unnest(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) as piece
+  from documents),
+lists as (
+  select lang, row_number() over () as piece, list_filter(string_split_regex(piece, '[ \t]+'), lambda x: x <> '') as w from pieces),
+total as (select lang, cast(sum(len(w)) as bigint) as n from lists group by lang),
+words as (select lang, piece, unnest(w) as w1, generate_subscripts(w, 1) as pos from lists),
+follow as (
+  select lang, w1, lead(w1, 1) over s as w2, lead(w1, 2) over s as w3 from words window s as (partition by piece order by pos)),
+grams as (
+  select lang, 1 as k, w1 as phrase from follow
+  union all select lang, 2, w1 || ' ' || w2 from follow where w2 is not null
+  union all select lang, 3, w1 || ' ' || w2 || ' ' || w3 from follow where w3 is not null),
+f as (select lang, k, phrase, count(*) as a from grams group by lang, k, phrase having count(*) >= 10),
+parts as (select *, string_split(phrase, ' ') as w from f where k > 1),
+cuts as (
+  select lang, phrase, a, 1 as cut, w[1] as lp, array_to_string(w[2:], ' ') as rp from parts
+  union all select lang, phrase, a, 2, w[1] || ' ' || w[2], w[3] from parts where k = 3),
+scored as (
+  select c.lang, c.phrase, c.a, c.cut, fl.a as l, fr.a as r,
+         cast((1000000::hugeint * c.a * c.a) // (fl.a::hugeint * fr.a) as bigint) as score
+  from cuts c join f fl on fl.lang = c.lang and fl.phrase = c.lp and fl.k < 3
+  join f fr on fr.lang = c.lang and fr.phrase = c.rp and fr.k < 3),
+low as (select *, row_number() over (partition by lang, phrase order by score, cut) as i from scored),
+held as (
+  select lang, phrase, max(a) as over from (
+    select lang, w[1] || ' ' || w[2] as phrase, a from parts where k = 3
+    union all select lang, w[2] || ' ' || w[3], a from parts where k = 3) group by lang, phrase),
+kept as (
+  select l.* from low l left join held h on h.lang = l.lang and h.phrase = l.phrase
+  where l.i = 1 and (h.over is null or 100 * h.over < 50 * l.a)),
+ranked as (select *, row_number() over (partition by lang order by score desc, a desc, phrase) as rank from kept)
+select r.lang, r.rank, r.phrase, r.a, r.l, r.r, t.n, r.score
+from ranked r join total t on t.lang = r.lang where r.rank <= 2000"""
+
+# The rules of the query.
+URL_RULES = [("block", "net", "/"), ("allow", "example.net", "/en/"), ("block", "example.com", "/de/"), ("allow", "org", "/fr/")]
+
+
+@register
+def op13_url_filter(spark: SparkSession, folder: str) -> DataFrame:
+    judged = urls.judge(read(spark, folder, "pages").select("page_id", "url"), URL_RULES)
+    return judged.select("page_id", "host", "path", "rule", "verdict")
+
+
+SQL["op13_url_filter"] = r"""
+with s as (
+  select page_id, case when instr(url, '://') > 0 then substr(url, instr(url, '://') + 3) else '' end as rest from pages),
+u as (
+  select page_id, translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as host,
+         regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) as path from s),
+v as (
+  select *, case
+    when (host = 'example.net' or host like '%.example.net') and starts_with(path, '/en/') then 'example.net/en/'
+    when (host = 'example.com' or host like '%.example.com') and starts_with(path, '/de/') then 'example.com/de/'
+    when (host = 'org' or host like '%.org') and starts_with(path, '/fr/') then 'org/fr/'
+    when (host = 'net' or host like '%.net') and starts_with(path, '/') then 'net/' end as rule from u)
+select page_id, host, path, rule, case when rule in ('net/', 'example.com/de/') then 'block' else 'allow' end as verdict from v"""
