@@ -40,13 +40,13 @@ from riskloom.operators.relational import lookup_join, salt_parts
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 # Bytes of text that are tokenised at once, of one language.
-BLOCK = 4 << 20
+BLOCK = 2 << 20
 # Bytes of all languages that wait for a block.
-WAITING = 16 << 20
+WAITING = 8 << 20
 # Occurrences of n-grams, about, in a hash partition of pass 1.
-PART = 4 << 20
+PART = 2 << 20
 # N-gram hashes that are combined before they leave a task.
-COMBINE = 6 << 20
+COMBINE = 2 << 20
 MAP_BITS = 1 << 28
 LONGEST = 3
 
@@ -150,12 +150,10 @@ def _mix(h: np.ndarray) -> np.ndarray:
 
 
 def _combine(keys: np.ndarray, counts: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct keys in order and what they add up to."""
+    """Distinct keys in order and what they add up to; keys without counts are sorted already."""
     if not len(keys):
         return keys, np.zeros(0, np.int64)
-    if counts is None:
-        keys = np.sort(keys)
-    else:
+    if counts is not None:
         order = np.argsort(keys)
         keys, counts = keys[order], counts[order]
     starts = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]])
@@ -189,10 +187,11 @@ def _summaries(parts: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.R
         for lang, pieces in _blocks(batches):
             waiting.extend(Block(lang, pieces).hashes())
             if sum(map(len, waiting)) >= COMBINE:
-                yield rows(np.concatenate(waiting))
-                waiting = []
+                keys, waiting = np.concatenate(waiting), []
+                keys.sort()
+                yield rows(keys)
         if waiting:
-            yield rows(np.concatenate(waiting))
+            yield rows(np.sort(np.concatenate(waiting)))
 
     return run
 
@@ -237,7 +236,7 @@ def _survivors(parts: int, bits: int, least: int) -> Callable[[pa.Table], pa.Tab
             o = np.frombuffer(once.as_py(), np.uint64)
             keys += [o, np.frombuffer(often.as_py(), np.uint64)]
             counts += [np.ones(len(o), np.int64), np.frombuffer(many.as_py(), np.int64)]
-            if sum(map(len, keys)) >= max(1 << 20, len(summary.keys)):
+            if sum(map(len, keys)) >= max(1 << 18, len(summary.keys)):
                 flush()
         flush()
         place = (summary.at_least(least) >> np.uint64(64 - bits)).astype(np.int64)
@@ -280,7 +279,7 @@ def _counts(marked: object, bits: int) -> Callable[[Iterator[pa.RecordBatch]], I
                     if size**3 >= 1 << 62:
                         pairs, code = np.unique(code, return_inverse=True)
                     code = code * size + block.ids[first + 2]
-                code, counts = _combine(code)
+                code, counts = _combine(np.sort(code))
                 ids = []
                 for _ in range(n - 1 if pairs is None else 1):
                     code, last = np.divmod(code, size)
