@@ -2,21 +2,26 @@
 
 from __future__ import annotations
 
+import functools
 import sys
 import types
+import uuid
 from collections.abc import Callable, Iterator
+from contextvars import ContextVar
 
 import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskloom.session import fresh_path
+from riskloom.session import fresh_path, prepare
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 # Rows of one Arrow batch that a task hands on, at most.
 BATCH = 2000
+# Column metadata that names the run a table came from.
+MARK = "scratch_scope"
 
 
 def process_cache(key: object, make: Callable[[], object]) -> object:
@@ -76,38 +81,58 @@ def partitions(spark: SparkSession) -> int:
     return max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
 
 
+class Scope:
+    """The scratch tables of one run, which it alone removes."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark, self.name, self.paths = spark, uuid.uuid4().hex, []
+
+    def __enter__(self) -> "Scope":
+        self.token = _SCOPE.set(self)
+        return self
+
+    def __exit__(self, *error: object) -> None:
+        _SCOPE.reset(self.token)
+
+    def remove(self) -> None:
+        for path in self.paths:
+            place = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+            place.getFileSystem(self.spark._jsparkSession.sessionState().newHadoopConf()).delete(place, True)
+        self.paths = []
+
+
+_SCOPE: ContextVar[Scope | None] = ContextVar("scope", default=None)
+
+
 def scratch(df: DataFrame, name: str) -> DataFrame:
-    """Write to the shared folder and read again; remembered for ``release``."""
+    """Write to the shared folder and read again; the table belongs to the open scope, if there is one."""
     spark = df.sparkSession
     path = fresh_path(spark, name)
     df.write.parquet(path)
-    _paths(spark).append(path)
+    if scope := _SCOPE.get():
+        scope.paths.append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
-def release(spark: SparkSession, docs: DataFrame) -> None:
-    """Remove the scratch tables of earlier stages, unless ``docs`` still reads one.
+def stage(fn: Callable[[SparkSession, DataFrame, str], DataFrame]) -> Callable[[SparkSession, DataFrame, str], DataFrame]:
+    """A stage of a pipeline that cleans up behind the one before it.
 
-    Called when a stage begins: what its predecessor returned has been written by then.
+    The result carries the name of its scope as metadata of its columns, which Parquet keeps. A
+    later stage whose documents are read from files that carry it knows by that name that the
+    result has been written, and removes just those tables; those of others stay.
     """
-    held = " ".join(docs.inputFiles())
-    left = []
-    for path in _paths(spark):
-        if path.rsplit("/", 1)[-1] in held:
-            left.append(path)
-            continue
-        place = spark._jvm.org.apache.hadoop.fs.Path(path)
-        place.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(place, True)
-    spark.sparkContext._llm_scratch = left
-
-
-def forget(spark: SparkSession) -> None:
-    """Leave the scratch tables written so far to their owners: a frame not yet read may need them."""
-    spark.sparkContext._llm_scratch = []
-
-
-def _paths(spark: SparkSession) -> list[str]:
-    sc = spark.sparkContext
-    if not hasattr(sc, "_llm_scratch"):
-        sc._llm_scratch = []
-    return sc._llm_scratch
+
+    @functools.wraps(fn)
+    def run(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        spark = prepare(spark)
+        known = spark.sparkContext.__dict__.setdefault("_llm_scopes", {})
+        for name in {f.metadata.get(MARK) for f in docs.schema.fields} & set(known):
+            held = " ".join(docs.inputFiles())
+            if not any(path.rsplit("/", 1)[-1] in held for path in known[name].paths):
+                known.pop(name).remove()
+        with Scope(spark) as own:
+            out = fn(spark, docs, sf_dir)
+        known[own.name] = own
+        return out.select(*[F.col(quoted(f.name)).alias(f.name, metadata={**f.metadata, MARK: own.name}) for f in out.schema.fields])
+
+    return run

@@ -140,18 +140,26 @@ def _back(unit: np.ndarray, edges: np.ndarray, some: np.ndarray, degree: int, re
             edges[point] = prune(unit, point, merged, degree, relax)
 
 
+def _scaled(vectors: np.ndarray) -> np.ndarray:
+    """Each vector times a power of two that brings its largest component near one: its square cannot overflow or vanish."""
+    _, exponent = np.frexp(np.abs(vectors).max(axis=1))
+    half = exponent // 2
+    return np.ldexp(np.ldexp(vectors, -half[:, None]), -(exponent - half)[:, None])
+
+
 def _search(k: int, dim_beam: int, degree: int, build_beam: int):
     """Rows of a shard come first, then its queries; both in bounded batches."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shard, ids, raw, index = None, [], [], None
         for batch in batches:
-            shards = batch.column("shard").to_numpy()
+            # vectors of one length are a shard of their own
+            shards = batch.column("shard").to_numpy().astype(np.int64) << 32 | batch.column("dims").to_numpy()
             kinds = batch.column("kind").to_numpy()
             change = np.flatnonzero(np.concatenate([[True], (shards[1:] != shards[:-1]) | (kinds[1:] != kinds[:-1])]))
             for a, z in zip(change.tolist(), [*change[1:].tolist(), batch.num_rows]):
                 part = batch.slice(a, z - a)
-                vectors = np.array(part.column("v").to_pylist(), np.float64)
+                vectors = _scaled(np.array(part.column("v").to_pylist(), np.float64))
                 if kinds[a] == 0:
                     if shards[a] != shard:
                         shard, ids, raw, index = shards[a], [], [], None
@@ -189,8 +197,8 @@ def nearest(
     """(query_id, rank, vec_id, score) of the k nearest by cosine of the rows whose key ``every`` divides.
 
     Nearest first, ties to the smaller key. Vectors that are null, zero, or hold null or
-    non-finite components take no part; nor do rows without key. All others must have one
-    length; a shorter table gives fewer ranks.
+    non-finite components take no part; nor do rows without key. A query meets vectors of its
+    own length only; a shorter table gives fewer ranks.
     """
     v = F.col(quoted(vector))
     fine = v.isNotNull() & F.col(quoted(key)).isNotNull() & F.forall(v, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) != float("inf"))) & F.exists(v, lambda x: x != 0)
@@ -201,11 +209,11 @@ def nearest(
     first = rows.withColumn("place", F.row_number().over(Window.partitionBy("v").orderBy("id"))).where(F.col("place") <= k + 1)
     points = first.groupBy("v").agg(F.sort_array(F.collect_list("id")).alias("ids"))
     shards = max(1, -(-rows.count() // shard))
-    placed = points.select(F.pmod(F.xxhash64("v"), F.lit(shards)).cast("int").alias("shard"), F.lit(0).alias("kind"), F.lit(None).cast("long").alias("id"), "ids", "v")
+    placed = points.select(F.pmod(F.xxhash64("v"), F.lit(shards)).cast("int").alias("shard"), F.lit(0).alias("kind"), F.lit(None).cast("long").alias("id"), "ids", F.size("v").alias("dims"), "v")
     asked = rows.where(F.col("id") % every == 0).select(
-        F.explode(F.sequence(F.lit(0), F.lit(shards - 1))).alias("shard"), F.lit(1).alias("kind"), "id", F.lit(None).cast("array<long>").alias("ids"), "v"
+        F.explode(F.sequence(F.lit(0), F.lit(shards - 1))).alias("shard"), F.lit(1).alias("kind"), "id", F.lit(None).cast("array<long>").alias("ids"), F.size("v").alias("dims"), "v"
     )
-    dealt = placed.unionByName(asked).repartition(max(shards, 1), "shard").sortWithinPartitions("shard", "kind", F.col("ids")[0], "id")
+    dealt = placed.unionByName(asked).repartition(max(shards, 1), "shard").sortWithinPartitions("shard", "dims", "kind", F.col("ids")[0], "id")
     found = dealt.mapInArrow(_search(k, beam, degree, build_beam), "query_id bigint, vec_id bigint, score double")
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
     return found.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

@@ -49,7 +49,7 @@ class WordCoder:
             spec = json.load(f)
         split = [p["pattern"]["Regex"] for p in spec["pre_tokenizer"]["pretokenizers"] if p["type"] == "Split"]
         self.whole = tokenizers.Tokenizer.from_file(path)
-        self.whole.encode_special_tokens = True
+        self.added = [t["content"] for t in spec.get("added_tokens", [])]
         self.splits = regex.compile(split[0])
         self.bytewise = tokenizers.pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
         self.pieces = BoundedMemo(self._piece, 500_000)
@@ -70,7 +70,8 @@ class WordCoder:
         return b"".join([self.pieces[p] for p in self.splits.findall(word)])
 
     def encode(self, text: str) -> bytes:
-        if ODD.search(text):
+        # added tokens are found in the text as written, before anything is normalised
+        if ODD.search(text) or any(a in text for a in self.added):
             return np.array(self.whole.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
         return b"".join(map(self.words.__getitem__, text.split()))
 

@@ -173,10 +173,10 @@ def test_links_connect_alike_in_small_and_large_buckets(spark, monkeypatch, smal
 
 
 def test_packing(spark, awkward):
-    rows = awkward + [(None, "<|endoftext|> İstanbul ΣΑΣ a\x1cb c\x85d ﬁ 日本 ẛ̣ don't 12")]
+    rows = awkward + [(300, "hello <|endoftext|> world <|startoftext|>"), (301, "<|endoftext|><|ENDOFTEXT|> <| endoftext|>")]
+    rows += [(None, "<|endoftext|> İstanbul ΣΑΣ a\x1cb c\x85d ﬁ 日本 ẛ̣ don't 12")]
     got = packing.pack(frame(spark, rows), WORDS).toPandas()
     coder = tokenizers.Tokenizer.from_file(WORDS)
-    coder.encode_special_tokens = True
     want = []
     for i, t in rows:
         ids = coder.encode(t or "", add_special_tokens=False).ids + [0]
@@ -371,3 +371,7 @@ def test_nearest(spark):
     few = graph.nearest(table.where("vec_id in (0, 1, 2)")).collect()
     assert [(r.query_id, r["rank"]) for r in sorted(few, key=lambda r: r["rank"])] == [(0, 1), (0, 2)]
     assert graph.nearest(table.where("vec_id = 1000")).count() == 0
+    far = [(0, [1e200, 2e200]), (50, [1e-200, 2e-200]), (51, [2.0, 1.0]), (52, [1.0, 2.0]), (53, [5e-324, 1e-323]), (100, [1.0, 2.0, 3.0]), (101, [1.0, 2.0, 4.0])]
+    got = {(r.query_id, r["rank"]): (r.vec_id, round(r.score, 12)) for r in graph.nearest(spark.createDataFrame(far, "vec_id long, embedding array<double>")).collect()}
+    assert [got[0, i] for i in (1, 2, 3, 4)] == [(50, 1.0), (52, 1.0), (53, 1.0), (51, 0.8)] and got[50, 1] == (0, 1.0)
+    assert [v for (q, _), (v, _) in got.items() if q == 100] == [101]

@@ -4,6 +4,7 @@ import pytest
 
 from riskloom.llm import queries
 from riskloom.llm.common import scratch
+from riskloom.session import fresh_path
 
 SMALL = "/root/testdata/sf0.001"
 
@@ -32,10 +33,35 @@ def test_empty_table(spark):
     assert corpus_pipeline.STAGES[-1][1](spark, docs, SMALL).count() == 0
 
 
+def test_runs_keep_their_hands_off_each_other(spark):
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet")
+    lazy = {name: queries.QUERIES[name](spark, SMALL) for name in ("op2_exact_dedup", "op4_simhash", "op5_packing")}
+    first = [docs, docs]
+    stages = corpus_pipeline.STAGES
+    results = [None, None]
+    for _, stage in stages[1:4]:
+        # both runs start a stage before either result is written
+        for i in (0, 1):
+            results[i] = stage(spark, first[i], SMALL)
+        for i in (0, 1):
+            first[i] = spark.read.parquet(written(results[i]))
+    assert first[0].count() == first[1].count() > 0
+    packed = stages[4][1](spark, first[0], SMALL)
+    for name, frame in lazy.items():
+        assert frame.count() >= docs.count(), name
+    assert packed.count() >= first[0].count()
+
+
+def written(df):
+    path = fresh_path(df.sparkSession, "test")
+    df.write.parquet(path)
+    return path
+
+
 @pytest.mark.parametrize("name", sorted(queries.SQL))
 def test_sql(spark, name):
     con = duckdb.connect()
-    for table in ("documents", "conversations"):
+    for table in ("documents", "conversations", "pages"):
         con.execute(f"create view {table} as select * from '{SMALL}/{table}.parquet'")
     want = con.execute(queries.SQL[name])
     columns = [c[0] for c in want.description]
@@ -44,4 +70,4 @@ def test_sql(spark, name):
 
 
 def test_registered():
-    assert sorted(int(k[2:].split("_")[0]) for k in queries.QUERIES) == list(range(1, 11))
+    assert sorted(int(k[2:].split("_")[0]) for k in queries.QUERIES) == list(range(1, 14))
