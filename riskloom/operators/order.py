@@ -9,15 +9,23 @@ partition and group.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
-from pyspark.sql import Column, DataFrame, Window
+import sys
+from collections.abc import Callable, Iterator, Sequence
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import TaskContext, cloudpickle
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from riskloom.operators.relational import join_null_safe
 from riskloom.roles import quoted
 from riskloom.session import cut
 
+# tasks need no copy of this package
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 _PID, _IDX = "_pid", "_idx"
 
 
@@ -67,6 +75,75 @@ def dense_positions(
     )
 
 
+def _segments(table: pa.Table, group: Sequence[str]) -> np.ndarray:
+    """First rows of the runs of equal group values; null equals null."""
+    n = table.num_rows
+    new = np.zeros(n, bool)
+    if n:
+        new[0] = True
+    for c in group:
+        column = table.column(c).combine_chunks()
+        here, before = column.slice(1), column.slice(0, max(0, n - 1))
+        same = pc.fill_null(pc.equal(here, before), False)
+        nulls = pc.and_(pc.is_null(here), pc.is_null(before))
+        new[1:] |= ~pc.or_(same, nulls).to_numpy(zero_copy_only=False)
+    return np.flatnonzero(new)
+
+
+def _totals_inside(group: Sequence[str], values: Sequence[str]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Totals of one sorted partition; ``_edge`` says which rows belong to its first (1) or last (2) group."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = [b for b in batches if b.num_rows]
+        if not held:
+            return
+        table = pa.Table.from_batches(held)
+        n = table.num_rows
+        starts = _segments(table, group)
+        sizes = np.diff(np.append(starts, n))
+        at = np.repeat(np.arange(len(starts)), sizes)
+        made = {}
+        for v in values:
+            x = pc.fill_null(table.column(v), 0).to_numpy()
+            cum = np.cumsum(x)
+            offset = np.append(0, cum[starts[1:] - 1]).astype(cum.dtype)
+            made[f"cum_{v}"] = pa.array(cum - offset[at])
+            made[f"total_{v}"] = pa.array((cum[starts + sizes - 1] - offset)[at])
+        edge = np.zeros(n, np.int32)
+        edge[: sizes[0]] = 1
+        edge[starts[-1] :] += 2
+        end = np.zeros(n, bool)
+        end[starts + sizes - 1] = True
+        made |= {"_pid": pa.array(np.full(n, TaskContext.get().partitionId(), np.int32)), "_edge": pa.array(edge), "_end": pa.array(end)}
+        for name, column in made.items():
+            table = table.append_column(name, column)
+        yield from table.combine_chunks().to_batches(max_chunksize=1 << 16)
+
+    return run
+
+
+def _carry(edges: Sequence[Row], group: Sequence[str], values: Sequence[str]) -> list[tuple]:
+    """(pid, edge, before..., total...) of the groups that lie in several partitions."""
+    out: list[tuple] = []
+    run: list[Row] = []
+
+    def close() -> None:
+        if len(run) > 1:
+            totals = [sum(r[f"total_{v}"] for r in run) for v in values]
+            before = [0 * t for t in totals]
+            for r in run:
+                out.append((r["_pid"], r["_edge"], *before, *totals))
+                before = [b + r[f"total_{v}"] for b, v in zip(before, values)]
+
+    for r in sorted(edges, key=lambda r: (r["_pid"], r["_edge"])):
+        if not run or [r[c] for c in group] != [run[-1][c] for c in group] or r["_pid"] == run[-1]["_pid"]:
+            close()
+            run = []
+        run.append(r)
+    close()
+    return out
+
+
 def running_totals(
     df: DataFrame,
     group: Sequence[str],
@@ -76,31 +153,28 @@ def running_totals(
 ) -> DataFrame:
     """Adds ``cum_<v>`` (up to and including the row) and ``total_<v>`` per group.
 
-    ``group + order`` must identify a row: aggregate first. A group may be far
-    larger than one task can hold; it is cut along the order, each piece gets its own
-    running sum and the sum of the earlier pieces is added.
+    ``group + order`` must identify a row: aggregate first. Rows are exchanged once, by range;
+    totals are made inside a partition before it is written. A group that goes on in the next
+    partition meets the sum of its earlier pieces in a broadcast of at most two rows per partition.
+    Values are whole numbers or doubles; a null adds nothing.
     """
     keep = [*group, *order, *values]
-    rows = ranged(df.select(*[F.col(quoted(c)) for c in keep]), [*group, *order], descending)
-    piece = [*group, _PID]
-    inside = (
-        Window.partitionBy(*piece)
-        .orderBy(*_sort_columns(order, descending))
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    )
-    local = rows.select("*", *[F.sum(v).over(inside).alias(f"cum_{v}") for v in values]).drop(_IDX)
-
-    # one row per group and partition it touches: at most groups + partitions rows
-    pieces = rows.groupBy(*piece).agg(*[F.sum(v).alias(f"_s_{v}") for v in values])
-    by_group = Window.partitionBy(*(group or [F.lit(0)]))
-    before = by_group.orderBy(_PID).rowsBetween(Window.unboundedPreceding, -1)
-    carry = pieces.select(
-        *piece,
-        *[F.coalesce(F.sum(f"_s_{v}").over(before), F.lit(0)).alias(f"_b_{v}") for v in values],
-        *[F.sum(f"_s_{v}").over(by_group).alias(f"total_{v}") for v in values],
-    )
-    return join_null_safe(local, carry, piece).select(
+    kinds = {v: "double" if isinstance(df.schema[v].dataType, (T.DoubleType, T.FloatType)) else "bigint" for v in values}
+    sort = _sort_columns([*group, *order], descending)
+    slim = df.select(*[F.col(quoted(c)) for c in [*group, *order]], *[F.col(quoted(v)).cast(kinds[v]).alias(v) for v in values])
+    dealt = slim.repartitionByRange(*sort).sortWithinPartitions(*sort)
+    schema = T.StructType(list(slim.schema.fields))
+    for v in values:
+        kind = slim.schema[v].dataType
+        schema = schema.add(f"cum_{v}", kind).add(f"total_{v}", kind)
+    schema = schema.add("_pid", T.IntegerType()).add("_edge", T.IntegerType()).add("_end", T.BooleanType())
+    rows = cut(dealt.mapInArrow(_totals_inside(list(group), list(values)), schema))
+    # at most two rows per partition
+    edges = rows.where("_edge > 0 and _end").select("_pid", "_edge", *[quoted(c) for c in group], *[quoted(f"total_{v}") for v in values])
+    cells = ", ".join([f"`_b_{v}` {kinds[v]}" for v in values] + [f"`_t_{v}` {kinds[v]}" for v in values])
+    carry = df.sparkSession.createDataFrame(_carry(edges.collect(), group, values), f"_pid int, _edge int, {cells}")
+    return rows.join(F.broadcast(carry), ["_pid", "_edge"], "left").select(
         *[F.col(quoted(c)) for c in keep],
-        *[(F.col(f"cum_{v}") + F.col(f"_b_{v}")).alias(f"cum_{v}") for v in values],
-        *[f"total_{v}" for v in values],
+        *[(F.col(quoted(f"cum_{v}")) + F.coalesce(quoted(f"_b_{v}"), F.lit(0))).alias(f"cum_{v}") for v in values],
+        *[F.coalesce(quoted(f"_t_{v}"), quoted(f"total_{v}")).alias(f"total_{v}") for v in values],
     )

@@ -1,4 +1,8 @@
-"""Classifiers over Spark ML, named and parameterised the way the searches name them.
+"""Classifiers, named and parameterised the way the searches name them.
+
+Most are Spark ML's. Exact trees, extra trees, real-valued boosting and the linear classifiers with a
+penalised intercept are grown or solved in Spark aggregations here. Spark's own trees (``tree``,
+``forest``, ``bagging``, ``gbt``) cut each column at 32 sketched places.
 
 ``fit`` takes a table with ``row_id``, ``label`` (0/1) and feature columns, optionally a
 row weight (a bootstrap multiplicity, so that drawn-twice rows are not copied). A fitted
@@ -28,6 +32,9 @@ from pyspark.sql import functions as F
 
 from riskloom.operators.neighbors import neighbour_labels
 from riskloom.operators.split import bootstrap_groups
+from riskloom.plans.boost import fit_real_boost
+from riskloom.plans.newton import LinearFits, fit_linear
+from riskloom.plans.trees import Growth, grow, subset_size
 from riskloom.session import checkpoint, cut
 
 # Spark's deepest tree; stands for "no limit".
@@ -46,6 +53,12 @@ KINDS = (
     "bagging",
     "gbt",
     "adaboost",
+    "adaboost_discrete",
+    "exact_tree",
+    "exact_forest",
+    "extra_trees",
+    "linear_logistic",
+    "linear_squared_hinge",
     "constant",
 )
 
@@ -86,6 +99,12 @@ PARAMETERS = {
     "bagging": {"n_estimators", "base_estimator", "max_features", "max_samples"},
     "gbt": {"n_estimators", "learning_rate", "max_depth"},
     "adaboost": {"n_estimators", "learning_rate"},
+    "adaboost_discrete": {"n_estimators", "learning_rate"},
+    "exact_tree": {"criterion", "max_depth", "max_features"},
+    "exact_forest": {"criterion", "max_depth", "max_features", "n_estimators"},
+    "extra_trees": {"criterion", "max_depth", "max_features", "n_estimators"},
+    "linear_logistic": {"C", "fit_intercept"},
+    "linear_squared_hinge": {"C", "fit_intercept"},
     "constant": set(),
 }
 
@@ -266,23 +285,38 @@ class FittedBoost:
         )
 
 
+def _drawn(train: DataFrame, share: float, count: int, seed: int) -> DataFrame:
+    """(row_id, drawn): how often each of ``count`` bootstrap samples drew a row, one join for all of them."""
+    draws = bootstrap_groups(train.select(F.lit("bag").alias("grp"), "row_id"), ["grp"], "row_id", share, count, seed)
+    return draws.groupBy("row_id").agg(F.map_from_entries(F.collect_list(F.struct("replicate", "mult"))).alias("drawn"))
+
+
+def _fit_exact(kind: str, train: DataFrame, params: dict[str, Any], features: Sequence[str], seed: int):
+    """Trees whose splits are exact (or drawn, for extra trees); no limit of depth unless one is given."""
+    many = kind != "exact_tree"
+    asked = params.get("max_features", "auto" if many else None)
+    growth = Growth(params.get("max_depth"), params.get("criterion", "gini"), subset_size(asked, len(features)), kind == "extra_trees", seed)
+    count = params.get("n_estimators", 10) if many else 1
+    drawn = _drawn(train, 1.0, count, seed) if kind == "exact_forest" else None
+    return grow(train, features, growth, count, drawn)
+
+
+@dataclass
+class FittedLinear:
+    """One of the fits that are made together, by itself."""
+
+    fits: LinearFits
+
+    def scores(self, data: DataFrame) -> DataFrame:
+        return self.fits.scores(data, [c for c in data.columns if c != "features"]).drop("cost")
+
+
 def _fit_bagging(train: DataFrame, params: dict[str, Any], rows: float, width: int, seed: int) -> FittedBagging:
     count = params.get("n_estimators", 10)
     base, base_params = params.get("base_estimator") or ("tree", {})
     share = params.get("max_features", 1.0)
     picked = max(1, int(share * width))
-    # all members' draws in one job; the weighted train rows are drawn by weight below
-    draws = bootstrap_groups(
-        train.select(F.lit("bag").alias("grp"), "row_id"),
-        ["grp"],
-        "row_id",
-        params.get("max_samples", 1.0),
-        count,
-        seed,
-    )
-    # how often each member drew a row travels with the row: one join for all members
-    drawn = draws.groupBy("row_id").agg(F.map_from_entries(F.collect_list(F.struct("replicate", "mult"))).alias("drawn"))
-    bag = placed(train.join(drawn, "row_id"))
+    bag = placed(train.join(_drawn(train, params.get("max_samples", 1.0), count, seed), "row_id"))
     members = []
     for i in range(count):
         # a seeded choice of feature positions, kept in order
@@ -300,7 +334,7 @@ def _mix(*parts: int) -> str:
     return hashlib.md5("-".join(map(str, parts)).encode()).hexdigest()
 
 
-def _fit_adaboost(train: DataFrame, params: dict[str, Any], seed: int) -> FittedBoost:
+def _fit_discrete(train: DataFrame, params: dict[str, Any], seed: int) -> FittedBoost:
     """Discrete two-class boosting of depth-1 trees.
 
     The weight of a row is a column; the lineage is cut every few rounds, from which a
@@ -346,7 +380,14 @@ def fit(kind: str, train: DataFrame, params: dict[str, Any], features: Sequence[
     if kind == "bagging":
         return _fit_bagging(train, params, rows, len(features), seed)
     if kind == "adaboost":
-        return _fit_adaboost(train, params, seed)
+        return fit_real_boost(train, params.get("n_estimators", 50), params.get("learning_rate", 1.0))
+    if kind == "adaboost_discrete":
+        return _fit_discrete(train, params, seed)
+    if kind in ("exact_tree", "exact_forest", "extra_trees"):
+        return _fit_exact(kind, train, params, features, seed)
+    if kind in ("linear_logistic", "linear_squared_hinge"):
+        loss = kind.removeprefix("linear_")
+        return FittedLinear(fit_linear(train, features, [params.get("C", 1.0)], loss, intercept=params.get("fit_intercept", True)))
     return Fitted(kind, estimator(kind, params, rows, seed).fit(train), list(features))
 
 

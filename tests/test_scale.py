@@ -129,3 +129,29 @@ def test_impute_nearest_ties_and_nulls(spark):
     df = spark.createDataFrame(rows, "row_id bigint, r double, v double")
     out = N.impute_nearest(df, "v", ["r"], "row_id").collect()
     assert [(r["row_id"], r["v"]) for r in out] == [(1, 10.0), (2, 20.0), (3, 10.0), (4, None), (5, 20.0), (6, 5.0)]
+
+
+@pytest.mark.parametrize("group", [["g"], [], ["g", "h"]])
+def test_running_totals_equal_windows(spark, group):
+    rnd = random.Random(4)
+    rows = [(rnd.choice([None, "a", "a", "b", "c"]), i % 2, i, rnd.randrange(9), rnd.choice([None, 0.5, 2.0])) for i in range(2000)]
+    df = spark.createDataFrame(rows, "g string, h int, o long, v int, x double").repartition(8)
+    got = running_totals(df, group, ["o"], ["v", "x"], descending=["o"]).collect()
+    want, total = {}, {}
+    for r in sorted(rows, key=lambda r: -r[2]):
+        key = tuple(r[["g", "h"].index(c)] for c in group)
+        v, x = total.get(key, (0, 0.0))
+        total[key] = (v + r[3], x + (r[4] or 0.0))
+        want[r[2]] = total[key]
+    assert {r["o"]: (r["cum_v"], r["cum_x"]) for r in got} == want
+    assert all((r["total_v"], r["total_x"]) == total[tuple(r[c] for c in group)] for r in got)
+
+
+def test_running_totals_exchange_rows_once(spark):
+    """What is read behind the written totals is not dealt again, whatever the number of groups."""
+    df = spark.range(5000).select((F.col("id") % 1000).alias("g"), F.col("id").alias("o"), F.lit(1).alias("v"))
+    made = running_totals(df, ["g"], ["o"], ["v"])
+    text = plan(made)
+    assert "Exchange hashpartitioning" not in text and "SortMergeJoin" not in text and "Window" not in text
+    assert "BroadcastHashJoin" in text
+    assert running_totals(df.limit(0), ["g"], ["o"], ["v"]).count() == 0
