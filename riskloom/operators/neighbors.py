@@ -1,10 +1,16 @@
 """Exact nearest neighbours without an all-pairs join.
 
-The candidate points are cut into boxes by medians of a bounded sample. A query first
-searches its own box; the distance it finds bounds which other boxes can still hold a
-nearer point, and only those are searched. The work inside a box is numpy on blocks of
-bounded size: a box or a query group of any length is split into blocks, and equal
-points are merged before the search, so that one hot point costs one row.
+Candidates are dealt to cells, each around a pivot: a seeded choice of the points themselves. A
+cell that holds more than a block gets pivots of its own, and so on, as long as all pivots
+together stay within ``PIVOT_BYTES``. Each cell knows the smallest and the largest distance of
+its points to its pivot, so the triangle inequality bounds from below how near any of them
+can be to a query, in any number of dimensions.
+
+A query searches its own cell first, then the cells that can still hold a nearer point, nearest
+bound first, a few in a round; what a round finds tightens the bound for the next one. The table
+of pairs holds numbers only; vectors are met when a cell is searched. The work inside a cell is
+numpy on blocks of bounded size: a cell or a query group of any length is split into blocks, and
+equal points are merged before the search, so that one hot point costs one row.
 """
 
 from __future__ import annotations
@@ -25,65 +31,118 @@ from riskloom.session import cut
 # Tasks get the helpers below with their code, so that workers need no copy of the package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-# Rows of each side one task holds at a time, and the sample that places the boxes.
+# Rows of each side one task holds at a time.
 BLOCK = 4096
-SAMPLE = 50_000
+# Pivots of one cell at most, and the memory of all of them: the tree is sent to every task.
+PIVOTS = 64
+PIVOT_BYTES = 128 << 20
+# Further cells a query searches in the second, third and last round.
+ROUNDS = (4, 32, None)
 # What the order of additions may change in a distance, relative to it.
 SLACK = 1e-9
 
 
-@dataclass
-class _Boxes:
-    """Axis-parallel splits as a flat tree, and the extent of every leaf."""
-
-    dim: np.ndarray
-    cut: np.ndarray
-    left: np.ndarray
-    right: np.ndarray
-    leaf: np.ndarray
-    leaves: int
-
-    def locate(self, x: np.ndarray) -> np.ndarray:
-        node = np.zeros(len(x), dtype=np.int64)
-        live = self.leaf[node] < 0
-        while live.any():
-            at = node[live]
-            go_left = x[live, self.dim[at]] <= self.cut[at]
-            node[live] = np.where(go_left, self.left[at], self.right[at])
-            live = self.leaf[node] < 0
-        return self.leaf[node]
-
-
-def _build(sample: np.ndarray, leaves: int) -> _Boxes:
-    dim, cutv, left, right, leaf = [], [], [], [], []
-    count = 0
-
-    def node() -> int:
-        for a in (dim, left, right):
-            a.append(0)
-        cutv.append(0.0)
-        leaf.append(-1)
-        return len(dim) - 1
-
-    work = [(node(), sample, leaves)]
-    while work:
-        i, pts, want = work.pop()
-        spread = pts.max(axis=0) - pts.min(axis=0) if len(pts) else np.zeros(1)
-        d = int(np.argmax(spread))
-        if want <= 1 or len(pts) < 2 or spread[d] <= 0:
-            leaf[i] = count
-            count += 1
-            continue
-        values = np.sort(pts[:, d])
-        at = float(values[(len(values) - 1) // 2])
-        if at >= values[-1]:
-            at = float(values[values < values[-1]][-1])
-        low = pts[:, d] <= at
-        dim[i], cutv[i] = d, at
-        left[i], right[i] = node(), node()
-        work.append((left[i], pts[low], want // 2))
-        work.append((right[i], pts[~low], want - want // 2))
-    return _Boxes(*(np.array(a) for a in (dim, cutv, left, right, leaf)), leaves=count)
+class _Cells:
+    """A tree of pivots. Node 0 is everything; a node without children is a leaf."""
+
+    def __init__(self, dims: int):
+        self.pivot = np.zeros((1, dims))
+        self.kids: dict[int, np.ndarray] = {}
+        self.low = np.array([0.0])
+        self.high = np.array([np.inf])
+
+    def split(self, node: int, points: np.ndarray) -> None:
+        points = np.unique(points, axis=0)
+        if len(points) > 1:
+            self.kids[node] = np.arange(len(self.pivot), len(self.pivot) + len(points))
+            self.pivot = np.concatenate([self.pivot, points])
+
+    def locate(self, x: np.ndarray) -> tuple[np.ndarray, list[tuple[np.ndarray, np.ndarray]]]:
+        """The leaf of each point, and level by level the node (-1 below the leaf) and the distance to its pivot."""
+        node, path = np.zeros(len(x), np.int64), []
+        while True:
+            nxt, far = np.full(len(x), -1, np.int64), np.zeros(len(x))
+            for at in np.unique(node):
+                kids = self.kids.get(int(at))
+                if kids is None:
+                    continue
+                rows = np.flatnonzero(node == at)
+                p = self.pivot[kids]
+                nearest = np.argmin((p * p).sum(axis=1) - 2 * (x[rows] @ p.T), axis=1)
+                nxt[rows] = kids[nearest]
+                far[rows] = np.sqrt(((x[rows] - p[nearest]) ** 2).sum(axis=1))
+            if not (nxt >= 0).any():
+                return node, path
+            path.append((nxt, far))
+            node = np.where(nxt >= 0, nxt, node)
+
+    def near(self, x: np.ndarray, reach: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(row, leaf, bound) of the leaves that may hold a point within ``reach``; bounds grow towards the leaves."""
+        rows, leaves, bounds = [], [], []
+        work = [(0, np.arange(len(x)), np.zeros(len(x)))]
+        while work:
+            node, some, bound = work.pop()
+            kids = self.kids.get(node)
+            if kids is None:
+                rows.append(some)
+                leaves.append(np.full(len(some), node, np.int64))
+                bounds.append(bound)
+                continue
+            for kid in kids:
+                if self.high[kid] < self.low[kid]:
+                    continue  # holds nothing
+                d = np.sqrt(((x[some] - self.pivot[kid]) ** 2).sum(axis=1))
+                least = np.maximum(bound, np.maximum(d - self.high[kid], self.low[kid] - d) - SLACK * (1.0 + d))
+                keep = least <= reach[some]
+                if keep.any():
+                    work.append((int(kid), some[keep], least[keep]))
+        if not rows:
+            return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)
+        return np.concatenate(rows), np.concatenate(leaves), np.concatenate(bounds)
+
+
+def _place(cells: _Cells):
+    @F.pandas_udf("int")
+    def box_of(x: pd.Series) -> pd.Series:
+        return pd.Series(cells.locate(_matrix(x))[0].astype(np.int32))
+
+    return box_of
+
+
+def _build(cands: DataFrame, total: int, dims: int, block: int) -> _Cells:
+    """Pivots for ``cands`` (cid, x): cells of more than two blocks are split again."""
+    cells = _Cells(dims)
+    big = {0: total} if total > block else {}
+    while big:
+        wanted = {node: max(2, min(PIVOTS, -(-2 * n // block))) for node, n in big.items()}
+        if cells.pivot.nbytes + sum(wanted.values()) * dims * 8 > PIVOT_BYTES:
+            break
+        # twice as many as wanted, by hash: at most PIVOTS a cell are kept
+        shares = F.create_map(*[F.lit(v) for node, n in big.items() for v in (node, min(1.0, 2.0 * wanted[node] / n))])
+        drawn = cands.select("cid", "x", _place(cells)("x").alias("box")).where(_unit("cid") < F.coalesce(F.try_element_at(shares, F.col("box")), F.lit(0.0)))
+        picks: dict[int, list] = {}
+        for r in drawn.orderBy(_unit("cid"), "cid").collect():
+            if len(picks.setdefault(r["box"], [])) < wanted[r["box"]]:
+                picks[r["box"]].append(r["x"])
+        for node, points in sorted(picks.items()):
+            cells.split(node, np.array(points, float))
+        counts = cands.select(_place(cells)("x").alias("box")).groupBy("box").count().collect()  # a row per cell
+        big = {r["box"]: r["count"] for r in counts if r["count"] > 2 * block and r["box"] not in big}
+    return cells
+
+
+def _measure(cells: _Cells, cands: DataFrame) -> None:
+    """Smallest and largest distance to the pivot, of every cell on the way to a leaf."""
+
+    @F.pandas_udf("array<struct<node:int,far:double>>")
+    def way(x: pd.Series) -> pd.Series:
+        _, path = cells.locate(_matrix(x))
+        return pd.Series([[{"node": int(n[i]), "far": float(d[i])} for n, d in path if n[i] >= 0] for i in range(len(x))])
+
+    cells.low, cells.high = np.full(len(cells.pivot), np.inf), np.full(len(cells.pivot), -np.inf)
+    spans = cands.select(F.explode(way("x")).alias("e")).groupBy("e.node").agg(F.min("e.far").alias("low"), F.max("e.far").alias("high"))
+    for r in spans.collect():  # a row per cell
+        cells.low[r["node"]], cells.high[r["node"]] = r["low"], r["high"]
 
 
 def _matrix(points: pd.Series) -> np.ndarray:
@@ -185,49 +244,24 @@ def nearest(queries: DataFrame, candidates: DataFrame, k: int = 1, block: int =
     total = cands.count()
     if total == 0:
         return spread.select("qid").limit(0).selectExpr("qid", "0L as cid", "0D as dist", "1 as rank")
-    share = min(1.0, SAMPLE / total)
-    sample = cands if share == 1.0 else cands.where(_unit("cid") < share)
-    pts = _matrix(sample.select("x").limit(2 * SAMPLE).toPandas()["x"])
-    tree = _build(pts, max(1, min(4096, total // block)))
-
-    @F.pandas_udf("int")
-    def box_of(x: pd.Series) -> pd.Series:
-        return pd.Series(tree.locate(_matrix(x)))
-
+    dims = len(cands.first()["x"])
+    cells = _build(cands, total, dims, block)
+    box_of = _place(cells)
     cands = cut(cands.withColumn("box", box_of("x")))
     here = cut(points.select("qid", "x", box_of("x").alias("box")))
-    dims = pts.shape[1]
-    extent = cands.groupBy("box").agg(
-        F.array(*[F.min(F.element_at("x", j + 1)) for j in range(dims)]).alias("lo"),
-        F.array(*[F.max(F.element_at("x", j + 1)) for j in range(dims)]).alias("hi"),
-    ).collect()  # one row per box, at most 4096
-    box_ids = np.array([r["box"] for r in extent], dtype=np.int64)
-    lo = np.array([r["lo"] for r in extent])
-    hi = np.array([r["hi"] for r in extent])
-
-    first = cut(_top_k(_box_search(here, cands, k, block, tree.leaves), k))
-    if len(box_ids) > 1:
-        bound = first.groupBy("qid").agg(F.count(F.lit(1)).alias("n"), F.max("dist").alias("dist"))
-        bound = bound.select("qid", F.when(F.col("n") >= k, F.col("dist")).alias("limit"))
-
-        @F.pandas_udf("array<int>")
-        def boxes_near(x: pd.Series, own: pd.Series, limit: pd.Series) -> pd.Series:
-            reach = limit.astype("float64").fillna(np.inf).to_numpy() * (1 + SLACK)
-            pts, mine, out = _matrix(x), own.to_numpy(), []
-            step = max(1, 2_000_000 // (len(box_ids) * dims))
-            for s in range(0, len(pts), step):
-                at = pts[s : s + step, None]
-                gap = np.maximum(0.0, np.maximum(lo[None] - at, at - hi[None]))
-                near = (gap * gap).sum(axis=2) <= reach[s : s + step, None]
-                near &= box_ids[None] != mine[s : s + step, None]
-                out += [box_ids[row] for row in near]
-            return pd.Series(out)
-
-        away = here.join(bound, "qid", "left").withColumn("boxes", boxes_near("x", "box", "limit"))
-        away = away.select("qid", "x", F.explode("boxes").alias("box"))
-        away = cut(away)
-        second = _box_search(away, cands, k, block, tree.leaves)
-        first = _top_k(first.select("qid", "cid", "dist").unionByName(second), k)
+    leaves = len(cells.pivot)
+    first = cut(_top_k(_box_search(here, cands, k, block, leaves), k).select("qid", "cid", "dist"))
+    if cells.kids:
+        _measure(cells, cands)
+        seen = 0
+        for more in ROUNDS:
+            pairs = cut(_pairs(cells, here, first, k, seen, more))
+            if pairs.isEmpty():
+                break
+            met = pairs.join(here.select("qid", "x"), "qid")
+            first = cut(_top_k(first.unionByName(_box_search(met, cands, k, block, leaves)), k).select("qid", "cid", "dist"))
+            seen += more or 0
+    first = _top_k(first, k)
     if points.count() == spread.count():
         return first.select("qid", "cid", "dist", "rank")
     # hand the answer of a point to all queries that sit on it, hot points salted
@@ -237,6 +271,30 @@ def nearest(queries: DataFrame, candidates: DataFrame, k: int = 1, block: int =
     return lookup_join(reps, answers, ["rep"], "qid", how="inner").select("qid", "cid", "dist", "rank")
 
 
+def _pairs(cells: _Cells, here: DataFrame, found: DataFrame, k: int, seen: int, more: int | None) -> DataFrame:
+    """(qid, box) of the next ``more`` cells, behind the ``seen`` nearest, that may improve a query's answer.
+
+    Cells are ordered by their bound, which does not depend on what has been found: a tighter
+    bound shortens the list at its end, so the first ``seen`` are those searched before.
+    """
+    bound = found.groupBy("qid").agg(F.count(F.lit(1)).alias("n"), F.max("dist").alias("dist"))
+    bound = bound.select("qid", F.when(F.col("n") >= k, F.col("dist")).alias("limit"))
+
+    @F.pandas_udf("array<int>")
+    def boxes_near(x: pd.Series, own: pd.Series, limit: pd.Series) -> pd.Series:
+        reach = np.sqrt(limit.astype("float64").fillna(np.inf).to_numpy()) * (1 + SLACK)
+        row, leaf, least = cells.near(_matrix(x), reach)
+        other = leaf != own.to_numpy()[row]
+        row, leaf, least = row[other], leaf[other], least[other]
+        order = np.lexsort((leaf, least, row))
+        row, leaf = row[order], leaf[order]
+        start = np.searchsorted(row, np.arange(len(x) + 1))
+        return pd.Series([leaf[a:b][seen : None if more is None else seen + more].astype(np.int32) for a, b in zip(start, start[1:])])
+
+    away = here.join(bound, "qid", "left").select("qid", boxes_near("x", "box", "limit").alias("boxes"))
+    return away.select("qid", F.explode("boxes").alias("box"))
+
+
 def _unit(key: str):
     return F.pmod(F.xxhash64(F.col(key)), F.lit(1 << 30)) / F.lit(float(1 << 30))
 

@@ -155,3 +155,41 @@ def test_running_totals_exchange_rows_once(spark):
     assert "Exchange hashpartitioning" not in text and "SortMergeJoin" not in text and "Window" not in text
     assert "BroadcastHashJoin" in text
     assert running_totals(df.limit(0), ["g"], ["o"], ["v"]).count() == 0
+
+
+def brute_near(q, c, k):
+    out = {}
+    for i, x in q:
+        out[i] = [j for _, j in sorted((sum((a - b) ** 2 for a, b in zip(x, y)), j) for j, y in c)][:k]
+    return out
+
+
+@pytest.mark.parametrize("dims,k", [(2, 3), (64, 2)])
+def test_neighbours_by_pivots(spark, dims, k, monkeypatch):
+    """Clusters in few and many dimensions: exact, and most pairs of query and cell are never looked at."""
+    rng = np.random.default_rng(dims)
+    centres = rng.normal(size=(12, dims)) * 10
+    cands = [(i, (centres[i % 12] + rng.normal(size=dims) * 0.3).tolist()) for i in range(900)]
+    cands += [(900 + i, cands[5][1]) for i in range(60)]
+    queries = [(i, (centres[i % 12] + rng.normal(size=dims) * 0.3).tolist()) for i in range(120)] + [(500, [0.0] * dims), (501, cands[5][1])]
+    made = []
+    pairs = N._pairs
+    monkeypatch.setattr(N, "_pairs", lambda *a: made.append(pairs(*a)) or made[-1])
+    got = {}
+    for r in N.nearest(spark.createDataFrame(queries, "qid long, x array<double>"), spark.createDataFrame(cands, "cid long, x array<double>"), k, 20).collect():
+        got.setdefault(r.qid, {})[r["rank"]] = r.cid
+    assert {q: [v[i] for i in sorted(v)] for q, v in got.items()} == brute_near(queries, cands, k)
+    # numbers only, and far fewer than queries times cells
+    assert all(p.columns == ["qid", "box"] for p in made)
+    assert 0 < sum(p.count() for p in made) < 120 * 20
+
+
+def test_cells_split_until_a_block_holds_them(spark):
+    rng = np.random.default_rng(3)
+    rows = [(i, rng.normal(size=3).tolist()) for i in range(3000)]
+    df = spark.createDataFrame(rows, "cid long, x array<double>")
+    cells = N._build(df, 3000, 3, 4)
+    leaf, path = cells.locate(np.array([x for _, x in rows]))
+    assert len(path) > 1 and np.unique(leaf, return_counts=True)[1].max() <= 8
+    N._measure(cells, df)
+    assert (cells.low[leaf] <= path[-1][1] + 1e-9).all() or len(path) > 2
