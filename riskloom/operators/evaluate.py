@@ -36,6 +36,15 @@ def score_counts(pred: DataFrame, keys: Sequence[str] = (), weight: str | None =
     )
 
 
+def unscored(pred: DataFrame, keys: Sequence[str] = (), weight: str | None = None) -> DataFrame:
+    """(keys..., rows, no_score, no_label): how many rows metrics leave out, as those lack a score or a label."""
+    w = F.col(weight) if weight else F.lit(1)
+    total = lambda c: F.coalesce(F.sum(F.when(c, w)), F.lit(0)).cast("bigint")
+    return pred.groupBy(*keys).agg(
+        total(F.lit(True)).alias("rows"), total(F.col("score").isNull()).alias("no_score"), total(F.col("label").isNull()).alias("no_label")
+    )
+
+
 def score_curve(pred: DataFrame, keys: Sequence[str] = (), weight: str | None = None) -> DataFrame:
     """score_counts plus ``tp``/``fp`` at threshold = score and the totals ``p``/``n``."""
     keys = list(keys)
@@ -183,7 +192,10 @@ def evaluate(
     keys: Sequence[str] = (),
     weight: str | None = None,
 ) -> DataFrame:
-    """All metrics for every key and threshold from one pass over the predictions."""
+    """All metrics for every key and threshold from one pass over the predictions.
+
+    Rows without a score or a label take no part; ``unscored`` counts them.
+    """
     keys = list(keys)
     curve = _safe(score_curve(pred, keys, weight))
     cells = _cells(curve, thresholds, keys, *_area_aggregates())

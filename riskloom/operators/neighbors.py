@@ -37,7 +37,9 @@ BLOCK = 4096
 PIVOTS = 64
 PIVOT_BYTES = 128 << 20
 # Further cells a query searches in the second, third and last round.
-ROUNDS = (4, 32, None)
+# Stands for cells that a later round may have to search.
+MORE = -1
+ROUNDS = (8, 64, None)
 # What the order of additions may change in a distance, relative to it.
 SLACK = 1e-9
 
@@ -256,11 +258,11 @@ def nearest(queries: DataFrame, candidates: DataFrame, k: int = 1, block: int =
         seen = 0
         for more in ROUNDS:
             pairs = cut(_pairs(cells, here, first, k, seen, more))
-            if pairs.isEmpty():
-                break
-            met = pairs.join(here.select("qid", "x"), "qid")
+            met = pairs.where("box >= 0").join(here.select("qid", "x"), "qid")
             first = cut(_top_k(first.unionByName(_box_search(met, cands, k, block, leaves)), k).select("qid", "cid", "dist"))
             seen += more or 0
+            if pairs.where(F.col("box") == MORE).isEmpty():
+                break
     first = _top_k(first, k)
     if points.count() == spread.count():
         return first.select("qid", "cid", "dist", "rank")
@@ -272,7 +274,7 @@ def nearest(queries: DataFrame, candidates: DataFrame, k: int = 1, block: int =
 
 
 def _pairs(cells: _Cells, here: DataFrame, found: DataFrame, k: int, seen: int, more: int | None) -> DataFrame:
-    """(qid, box) of the next ``more`` cells, behind the ``seen`` nearest, that may improve a query's answer.
+    """(qid, box) of the next ``more`` cells, behind the ``seen`` nearest, that may improve a query's answer; ``MORE`` if others are left.
 
     Cells are ordered by their bound, which does not depend on what has been found: a tighter
     bound shortens the list at its end, so the first ``seen`` are those searched before.
@@ -289,12 +291,61 @@ def _pairs(cells: _Cells, here: DataFrame, found: DataFrame, k: int, seen: int,
         order = np.lexsort((leaf, least, row))
         row, leaf = row[order], leaf[order]
         start = np.searchsorted(row, np.arange(len(x) + 1))
-        return pd.Series([leaf[a:b][seen : None if more is None else seen + more].astype(np.int32) for a, b in zip(start, start[1:])])
+        out = []
+        for a, b in zip(start, start[1:]):
+            end = b if more is None else min(b, a + seen + more)
+            out.append(np.append(leaf[min(b, a + seen) : end], [MORE] if end < b else []).astype(np.int32))
+        return pd.Series(out)
 
     away = here.join(bound, "qid", "left").select("qid", boxes_near("x", "box", "limit").alias("boxes"))
     return away.select("qid", F.explode("boxes").alias("box"))
 
 
+def approx_nearest(
+    queries: DataFrame, candidates: DataFrame, k: int = 1, tables: int = 12, bits: int = 10, probes: int = 6, seed: int = 0, block: int = BLOCK
+) -> DataFrame:
+    """(qid, cid, dist, rank): the k nearest candidates found by random projections, not always the nearest.
+
+    Each of ``tables`` hash tables names a bucket by the sides of ``bits`` random hyperplanes through the
+    mean of the candidates. A query looks into its own bucket and into ``probes`` more per table, those
+    across the planes it is nearest to. What it meets is compared exactly, on blocks of bounded size
+    however many points share a bucket. Equal candidates are merged as in ``nearest``. More tables and
+    probes find more; a query that meets nothing has no row.
+    """
+    as_x = F.col("x").cast("array<double>").alias("x")
+    cands = cut(_first_ids(candidates.select(F.col("cid").cast("bigint").alias("cid"), as_x), k))
+    asked = cut(queries.select(F.col("qid").cast("bigint").alias("qid"), as_x))
+    one = cands.first()
+    if one is None:
+        return asked.select("qid").limit(0).selectExpr("qid", "0L as cid", "0D as dist", "1 as rank")
+    dims = len(one["x"])
+    centre = np.array(cands.agg(*[F.avg(F.element_at("x", j + 1)) for j in range(dims)]).first(), float)
+    planes = np.random.default_rng(seed).normal(size=(tables, dims, bits))
+
+    def bucket_ids(probes: int):
+        @F.pandas_udf("array<bigint>")
+        def of(x: pd.Series) -> pd.Series:
+            side = np.einsum("nd,tdb->ntb", _matrix(x) - centre, planes)
+            own = ((side > 0) << np.arange(bits)).sum(axis=2)
+            out = [own]
+            if probes:
+                near = np.argsort(np.abs(side), axis=2, kind="stable")
+                # flip one plane at a time, then the two nearest together, and so on
+                flips = [near[:, :, [i]] for i in range(bits)] + [near[:, :, [0, i]] for i in range(1, bits)]
+                order = sorted(range(len(flips)), key=lambda i: (i if i < bits else 2 * (i - bits) + 2, i))
+                out += [own ^ (1 << flips[i]).sum(axis=2) for i in order[:probes]]
+            named = [b + (np.arange(tables) << bits) for b in out]
+            return pd.Series(list(np.concatenate(named, axis=1)))
+
+        return of
+
+    keyed = cut(cands.withColumn("box", F.explode(bucket_ids(0)("x"))).withColumn("box", F.col("box").cast("int")))
+    probing = asked.select("qid", "x", F.explode(F.array_distinct(bucket_ids(probes)("x"))).alias("box"))
+    probing = cut(probing.withColumn("box", F.col("box").cast("int")))
+    found = _box_search(probing, keyed, k, block, tables << bits)
+    return _top_k(found.distinct(), k).select("qid", "cid", "dist", "rank")
+
+
 def _unit(key: str):
     return F.pmod(F.xxhash64(F.col(key)), F.lit(1 << 30)) / F.lit(float(1 << 30))
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -52,8 +53,9 @@ def describe(df: DataFrame, cols: Sequence[str] | None = None, **limits: int) ->
     """count, mean, sample deviation, minimum, quartiles and maximum per numeric column."""
     cols = list(cols if cols is not None else numeric_columns(df))
     q, moments = quantiles_and_moments(df, cols, _QUARTILES, **limits)
+    real = lambda v: None if v is None else float(v)
     rows = [
-        (c, m["count"], m["mean"], m["std"], m["min"], q[c][0.25], q[c][0.5], q[c][0.75], m["max"])
+        (c, m["count"], m["mean"], m["std"], real(m["min"]), real(q[c][0.25]), real(q[c][0.5]), real(q[c][0.75]), real(m["max"]))
         for c, m in moments.items()
     ]
     schema = "column string, count bigint, mean double, std double, min double, p25 double, median double, p75 double, max double"
@@ -61,6 +63,19 @@ def describe(df: DataFrame, cols: Sequence[str] | None = None, **limits: int) ->
     return df.sparkSession.createDataFrame(rows, schema)
 
 
+def whole_ranges(df: DataFrame, cols: Sequence[str] | None = None, **limits: int) -> DataFrame:
+    """Count, minimum, quartiles and maximum of whole-number columns, to the last digit: ids do not fit a double."""
+    known = [f.name for f in df.schema.fields if isinstance(f.dataType, T.IntegralType)]
+    cols = list(cols if cols is not None else known)
+    if other := [c for c in cols if c not in known]:
+        raise ValueError(f"not whole numbers: {', '.join(other)}")
+    q, moments = quantiles_and_moments(df, cols, _QUARTILES, **limits)
+    exact = lambda v: None if v is None else Decimal(v.numerator) / Decimal(v.denominator)
+    rows = [(c, m["count"], m["min"], *[exact(q[c][p]) for p in _QUARTILES], m["max"]) for c, m in moments.items()]
+    schema = "column string, count bigint, min bigint, p25 decimal(22,2), median decimal(22,2), p75 decimal(22,2), max bigint"
+    return df.sparkSession.createDataFrame(rows, schema)
+
+
 def profile(df: DataFrame, digits: int | None = None, with_missing: bool = True, **limits: int) -> DataFrame:
     """One row per column: describe (numbers only), mode and null count."""
     out = mode_table(df, df.columns).select(
@@ -190,6 +205,6 @@ def scalar_summary(df: DataFrame, col: str, prob: float = 0.99, **limits: int) -
     """Row count, mean, median, a quantile, minimum and maximum of one column."""
     q, moments = quantiles_and_moments(df, [col], [0.5, prob], **limits)
     m = moments[col]
-    row = (df.count(), m["mean"], q[col][0.5], q[col][prob], m["min"], m["max"])
+    row = (df.count(), *[None if v is None else float(v) for v in (m["mean"], q[col][0.5], q[col][prob], m["min"], m["max"])])
     schema = "rows bigint, mean double, median double, quantile double, min double, max double"
     return df.sparkSession.createDataFrame([row], schema)

@@ -12,18 +12,20 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 from dataclasses import dataclass
+from fractions import Fraction
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from riskloom.roles import quoted
 
 
 @dataclass
 class _Bracket:
-    col: str
-    lo: float
-    hi: float
+    col: str  # the column as SQL
+    lo: float | int
+    hi: float | int
     below: int  # values < lo
     inside: int  # values in [lo, hi]
     distinct: int  # estimated distinct values in [lo, hi]
@@ -35,18 +37,29 @@ class _Bracket:
 # otherwise cost a Python-to-JVM call for every operator.
 
 
-def _num(name: str) -> str:
+def _num(df: DataFrame, name: str) -> str:
+    """Whole numbers stay whole: above 2^53 a double would merge neighbours."""
+    if isinstance(df.schema[name].dataType, T.IntegralType):
+        return f"cast({quoted(name)} as bigint)"
     # NaN is no value: it would be the largest of all
     return f"nullif(cast({quoted(name)} as double), double('NaN'))"
 
 
-def _at(value: float) -> str:
-    return f"double('{value!r}')"
+def _at(value: float | int) -> str:
+    return f"bigint('{value}')" if isinstance(value, int) else f"double('{value!r}')"
 
 
 def _within(b: "_Bracket | tuple[str, float, float]") -> str:
     col, lo, hi = (b.col, b.lo, b.hi) if isinstance(b, _Bracket) else b
-    return f"{_num(col)} between {_at(lo)} and {_at(hi)}"
+    return f"{col} between {_at(lo)} and {_at(hi)}"
+
+
+def _between(v0: float | int, v1: float | int, frac: float) -> float | int | Fraction:
+    """Linear interpolation; exact between whole numbers."""
+    if isinstance(v0, int):
+        mixed = v0 + (v1 - v0) * Fraction(frac).limit_denominator(1 << 20)
+        return int(mixed) if mixed.denominator == 1 else mixed
+    return v0 + (v1 - v0) * frac
 
 
 def exact_quantiles(
@@ -62,7 +75,8 @@ def exact_quantiles(
     ``distinct_limit`` bounds the distinct values one task orders at the end. The table
     is read at least twice: cut the lineage first if it is costly to compute.
     """
-    return quantiles_and_moments(df, cols, probs, distinct_limit, accuracy, max_rounds)[0]
+    found = quantiles_and_moments(df, cols, probs, distinct_limit, accuracy, max_rounds)[0]
+    return {c: {p: None if v is None else float(v) for p, v in by.items()} for c, by in found.items()}
 
 
 def quantiles_and_moments(
@@ -73,7 +87,10 @@ def quantiles_and_moments(
     accuracy: int = 10_000,
     max_rounds: int = 12,
 ) -> tuple[dict[str, dict[float, float | None]], dict[str, dict[str, float]]]:
-    """Exact quantiles, and count, mean, sample deviation, min and max from the same first pass."""
+    """Exact quantiles, and count, mean, sample deviation, min and max from the same first pass.
+
+    Quantiles, min and max of whole numbers are whole, or fractions between two of them.
+    """
     cols = list(dict.fromkeys(cols))
     if not cols:
         return {}, {}
@@ -85,7 +102,7 @@ def quantiles_and_moments(
         "hi": "max({x})",
         "d": "approx_count_distinct({x})",
     }
-    aggs = [F.expr(f"{text.format(x=_num(c))} as {k}{i}") for i, c in enumerate(cols) for k, text in parts.items()]
+    aggs = [F.expr(f"{text.format(x=_num(df, c))} as {k}{i}") for i, c in enumerate(cols) for k, text in parts.items()]
     first = df.agg(*aggs).first()
     moments = {
         c: {k: first[f"{p}{i}"] for k, p in (("count", "n"), ("mean", "mean"), ("std", "std"), ("min", "lo"), ("max", "hi"))}
@@ -103,7 +120,7 @@ def quantiles_and_moments(
             at = p * (n - 1)
             k0 = min(n - 1, math.floor(at))
             k1 = min(n - 1, k0 + 1) if at > k0 else k0
-            box = _Bracket(c, first[f"lo{i}"], first[f"hi{i}"], 0, n, first[f"d{i}"], k0, k1)
+            box = _Bracket(_num(df, c), first[f"lo{i}"], first[f"hi{i}"], 0, n, first[f"d{i}"], k0, k1)
             wanted.append((c, p, at - k0, box))
 
     for _ in range(max_rounds):
@@ -113,7 +130,7 @@ def quantiles_and_moments(
 
     ranks = _pick(df, [b for *_, b in wanted])
     for (c, p, frac, _), (v0, v1) in zip(wanted, ranks):
-        out[c][p] = v0 + (v1 - v0) * frac
+        out[c][p] = _between(v0, v1, frac)
     return out, moments
 
 
@@ -124,7 +141,7 @@ def _narrow(df: DataFrame, boxes: list[_Bracket], accuracy: int) -> bool:
     for i, b in enumerate(boxes):
         p0 = max(0.0, (b.k0 - b.below) / b.inside - slack)
         p1 = min(1.0, (b.k1 - b.below + 1) / b.inside + slack)
-        inside = f"case when {_within(b)} then {_num(b.col)} end"
+        inside = f"case when {_within(b)} then {b.col} end"
         sketch.append(F.expr(f"percentile_approx({inside}, array({_at(p0)}, {_at(p1)}), {accuracy}) as q{i}"))
     guess = df.agg(*sketch).first()
 
@@ -133,9 +150,9 @@ def _narrow(df: DataFrame, boxes: list[_Bracket], accuracy: int) -> bool:
         lo, hi = guess[f"q{i}"]
         within = _within((b.col, lo, hi))
         counts += [
-            F.expr(f"count_if({_num(b.col)} < {_at(lo)}) as b{i}"),
+            F.expr(f"count_if({b.col} < {_at(lo)}) as b{i}"),
             F.expr(f"count_if({within}) as n{i}"),
-            F.expr(f"approx_count_distinct(case when {within} then {_num(b.col)} end) as d{i}"),
+            F.expr(f"approx_count_distinct(case when {within} then {b.col} end) as d{i}"),
         ]
     seen = df.agg(*counts).first()
 
@@ -167,11 +184,14 @@ def _pick(df: DataFrame, boxes: list[_Bracket]) -> list[tuple[float, float]]:
         for b in boxes:
             if b.lo < b.hi:
                 wanted.setdefault(shared[b.col, b.lo, b.hi], set()).update({b.k0 - b.below, b.k1 - b.below})
+        # whole numbers and doubles have a slot each
+        whole = [isinstance(box[1], int) for box in shared]
         cells = ", ".join(
-            f"case when {_within(box)} then struct({t} as t, {_num(box[0])} as v) end" for box, t in shared.items()
+            f"case when {_within(box)} then struct({t} as t, {box[0] if w else 'cast(null as bigint)'} as i, {'cast(null as double)' if w else box[0]} as x) end"
+            for (box, t), w in zip(shared.items(), whole)
         )
-        values = df.select(F.expr(f"explode(array_compact(array({cells}))) as e")).groupBy("e.t", "e.v").count()
-        upto = Window.partitionBy("t").orderBy("v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        values = df.select(F.expr(f"explode(array_compact(array({cells}))) as e")).groupBy("e.t", "e.i", "e.x").count()
+        upto = Window.partitionBy("t").orderBy("i", "x").rowsBetween(Window.unboundedPreceding, Window.currentRow)
         ladder = values.withColumn("upto", F.sum("count").over(upto))
         hits = " or ".join(
             f"(t = {t} and upto - count <= {k} and upto > {k})" for t, ks in wanted.items() for k in ks
@@ -179,7 +199,7 @@ def _pick(df: DataFrame, boxes: list[_Bracket]) -> list[tuple[float, float]]:
         for r in ladder.where(hits).collect():  # at most two rows per wanted quantile
             for k in wanted[r["t"]]:
                 if r["upto"] - r["count"] <= k < r["upto"]:
-                    found[r["t"], k] = r["v"]
+                    found[r["t"], k] = r["x"] if r["i"] is None else r["i"]
     out = []
     for b in boxes:
         if b.lo < b.hi:

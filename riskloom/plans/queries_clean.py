@@ -10,11 +10,11 @@ from riskloom.operators import features as X
 from riskloom.operators import profile as P
 from riskloom.operators import relational as R
 from riskloom.operators import split as SP
-from riskloom.operators.neighbors import impute_nearest, knn_classify as knn
+from riskloom.operators.neighbors import approx_nearest, impute_nearest, knn_classify as knn
 from riskloom.plans.recipe import FeatureRecipe
 from riskloom.plans.registry import on_cohort, query
 from riskloom.roles import Roles, select_by_role as by_role, tag_roles
-from riskloom.session import fresh_path
+from riskloom.session import cut, fresh_path
 from riskloom.sources.csv import read_csv, write_csv
 from riskloom.sources.report import read_report, write_report
 from riskloom.sources.tables import cohort, cohort_table, table
@@ -490,3 +490,36 @@ def knn_classify(spark, folder):
     rows = SP.random_holdout(table(spark, folder, "embeddings"), "vec_id", 0.25, seed=7)
     train, test = SP.role_frames(rows)
     return knn(train, test, "embedding", "label", "vec_id", 5)
+
+
+@query()
+def knn_approx(spark, folder):
+    """The five neighbours that random projections find: the named alternative to the exact search."""
+    rows = SP.random_holdout(table(spark, folder, "embeddings"), "vec_id", 0.25, seed=7)
+    train, test = SP.role_frames(rows)
+    return approx_nearest(test.select(F.col("vec_id").alias("qid"), F.col("embedding").alias("x")), train.select(F.col("vec_id").alias("cid"), F.col("embedding").alias("x")), 5)
+
+
+@query(on_cohort("""
+, known as (select c.*, cast(o.o_custkey as varchar) || '-' || enrolled_yr || '-' || month(enrolled) as client from cohort c join orders o on o.o_orderkey = c.row_id),
+train as (select * from known where label is not null and enrolled_yr <= 1999),
+places as (
+  select *, row_number() over (order by col, v) - 1 as place from (
+    select distinct 'client' as col, client as v from train union select distinct 'priority', priority from train)),
+filled as (
+  select row_id, case when enrolled_yr <= 1999 then 'train' else 'test' end as role, client, priority,
+         round(coalesce(acctbal, (select median(acctbal) from train)), 6) as acctbal,
+         case when (priority = '1-URGENT') = coalesce(flag_a, true) then 1 else 0 end as urgent_match
+  from known where label is not null)
+select row_id, role, acctbal, urgent_match, place from filled join places on (col = 'client' and v = client) or (col = 'priority' and v = priority)"""))
+def feature_recipe_sparse(spark, folder):
+    """The recipe over a column with thousands of categories: it goes over to sparse vectors by itself."""
+    names = table(spark, folder, "orders").select(F.col("o_orderkey").alias("row_id"), "o_custkey")
+    known = cohort(spark, folder).where("label is not null").join(names, "row_id")
+    client = F.concat_ws("-", "o_custkey", "enrolled_yr", F.month("enrolled")).alias("client")
+    rows = known.select("row_id", "enrolled_yr", "priority", "acctbal", "flag_a", client)
+    rows = cut(SP.time_split(rows, "enrolled_yr", 1999).drop("enrolled_yr"))
+    step = FeatureRecipe(median_cols=["acctbal"], one_hot_cols=["client", "priority"], matches=[("priority_1-URGENT", "flag_a", "urgent_match")], drop_cols=["flag_a"])
+    made = step.fit(rows.where("role = 'train'")).transform(rows).select("row_id", "role", "acctbal", "urgent_match")
+    places = step.encoder.positions(step.fills.transform(rows))
+    return made.join(places.select("row_id", F.explode("at").alias("place")), "row_id").withColumn("place", F.col("place").cast("bigint"))

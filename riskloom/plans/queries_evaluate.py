@@ -378,3 +378,13 @@ def weighted_fold_mean(spark, folder):
     mean = E.weighted_fold_mean(metrics, sizes, ["threshold"], "fold", names)
     return mean.select("threshold", *[F.round(n, 5).alias(n) for n in names])
 
+
+
+@query(
+    on_cohort("""select enrolled_yr, count(*) as rows, count(*) filter (where acctbal is null) as no_score,
+  count(*) filter (where label is null) as no_label from cohort group by enrolled_yr""")
+)
+def unscored_rows(spark, folder):
+    """Rows that metrics by year leave out, as they lack a score or a label."""
+    rows = cohort(spark, folder).select("enrolled_yr", "label", (F.col("acctbal") / 10000).alias("score"))
+    return E.unscored(rows, ["enrolled_yr"])

@@ -109,6 +109,32 @@ def describe(spark, folder):
     return P.describe(cohort_table(spark, folder, "qty", "disc", "total", "acctbal"))
 
 
+_IDS = ("o_orderkey", "o_custkey", "far")
+
+
+@query(
+    "with t as (select o_orderkey, o_custkey, o_orderkey + 4611686018427387904 as far from orders), "
+    "p as (select *, (n - 1) // 4 as k from (select count(*) as n from t)), "
+    + ", ".join(f"r_{c} as (select {c} as v, row_number() over (order by {c}) - 1 as i from t)" for c in _IDS)
+    + " "
+    + _each(
+        _IDS,
+        lambda c: f"""select '{c}' as "column", p.n as "count", (select min({c}) from t) as min, """
+        + ", ".join(
+            f"""cast(cast((select v from r_{c} where i = {q} * (p.n - 1) // 4) as decimal(22,2))
+  + cast(((select v from r_{c} where i = ({q} * (p.n - 1) + 3) // 4) - (select v from r_{c} where i = {q} * (p.n - 1) // 4))
+         * ({q} * (p.n - 1) % 4) * 25 as decimal(20,0)) * 0.01 as decimal(22,2)) as {name}"""
+            for q, name in ((1, "p25"), (2, "median"), (3, "p75"))
+        )
+        + f", (select max({c}) from t) as max from p",
+    )
+)
+def id_ranges(spark, folder):
+    """Ranges and quartiles of ids to the last digit, one column far above 2^53."""
+    rows = table(spark, folder, "orders").select("o_orderkey", "o_custkey", (F.col("o_orderkey") + F.lit(1 << 62)).alias("far"))
+    return P.whole_ranges(cut(rows))
+
+
 def _modes_sql() -> str:
     def row(c: str, num: bool) -> str:
         return (

@@ -193,3 +193,51 @@ def test_cells_split_until_a_block_holds_them(spark):
     assert len(path) > 1 and np.unique(leaf, return_counts=True)[1].max() <= 8
     N._measure(cells, df)
     assert (cells.low[leaf] <= path[-1][1] + 1e-9).all() or len(path) > 2
+
+
+def test_random_projections_reach_their_recall(spark):
+    """Clusters, one of them a third of all points: at least nine of ten true neighbours are found."""
+    rng = np.random.default_rng(1)
+    centres = rng.normal(size=(30, 32))
+    place = [0 if i % 3 == 0 else i % 30 for i in range(1500)]
+    cands = [(i, (centres[p] + rng.normal(size=32) * 0.4).tolist()) for i, p in enumerate(place)]
+    queries = [(i, (centres[i % 30] + rng.normal(size=32) * 0.4).tolist()) for i in range(90)]
+    want = brute_near(queries, cands, 5)
+    q, c = spark.createDataFrame(queries, "qid long, x array<double>"), spark.createDataFrame(cands, "cid long, x array<double>")
+    got = {}
+    for r in N.approx_nearest(q, c, 5, block=200).collect():
+        got.setdefault(r.qid, []).append(r.cid)
+        assert abs(r.dist - sum((a - b) ** 2 for a, b in zip(queries[r.qid][1], cands[r.cid][1]))) < 1e-9
+    assert sum(len(set(got.get(i, [])) & set(want[i])) for i in want) >= 0.9 * 5 * len(want)
+    assert all(len(v) == len(set(v)) <= 5 for v in got.values())
+    assert N.approx_nearest(q, c.limit(0), 5).count() == 0
+
+
+def test_quantiles_of_ids_are_exact(spark):
+    from riskloom.operators.profile import whole_ranges
+
+    top = 1 << 53
+    df = spark.createDataFrame([(top + i, "x") for i in (1, 3, 5, 8)] + [(None, "x")], "id long, t string")
+    row = whole_ranges(df).first()
+    assert (row["min"], row["max"], row["count"]) == (top + 1, top + 8, 4)
+    assert [str(row[c]) for c in ("p25", "median", "p75")] == [f"{top + 2}.50", f"{top + 4}.00", f"{top + 5}.75"]
+    many = spark.range(3000).select((F.col("id") * 7 + (1 << 60)).alias("id"))
+    assert exact_quantiles(many, ["id"], [0.5])["id"][0.5] == float((1 << 60) + 7 * 2999 // 2)
+    assert str(whole_ranges(many, distinct_limit=50).first()["median"]) == f"{(1 << 60) + 7 * 1499 + 3}.50"
+    with pytest.raises(ValueError):
+        whole_ranges(df, ["t"])
+
+
+def test_recipe_goes_over_to_sparse_vectors(spark):
+    from riskloom.plans import recipe as RC
+
+    rows = [(i, f"c{i % 3000}", i % 2 == 0, float(i)) for i in range(4000)]
+    df = spark.createDataFrame(rows, "row_id long, c string, f boolean, x double")
+    step = RC.FeatureRecipe(one_hot_cols=["c"], matches=[("c_c7", "f", "same")]).fit(df)
+    out = step.transform(df)
+    assert out.columns == ["row_id", "f", "x", "same", "one_hot"] or set(out.columns) == {"row_id", "f", "x", "same", "one_hot"}
+    got = {r.row_id: r for r in out.where("row_id < 20").collect()}
+    assert len(got) == 20 and all(v.one_hot.size == 3000 and v.one_hot.numNonzeros() == 1 for v in got.values())
+    assert all(got[i].same == int((i == 7) == (i % 2 == 0)) for i in got)
+    few = RC.FeatureRecipe(one_hot_cols=["c"], sparse=True).fit(df.where("row_id < 5")).transform(df.where("row_id in (1, 9)"))
+    assert sorted((r.row_id, r.one_hot.numNonzeros()) for r in few.collect()) == [(1, 1), (9, 0)]
