@@ -105,14 +105,12 @@ def _behind(piece: Column) -> Column:
 def read_turns(formatted: Column) -> Column:
     """array<struct<role, text>> of the turns in a formatted conversation."""
     blocks = F.filter(F.split(formatted, "</turn>\n"), lambda b: b != "")
+    # the role of a block is looked for once, however many turns were merged into it
+    parts = F.transform(
+        blocks, lambda b: F.struct(unescape(F.regexp_extract(b, "^<turn ([^>]*)>", 1)).alias("role"), _marks(b).alias("pieces"))
+    )
     return F.flatten(
-        F.transform(
-            blocks,
-            lambda b: F.transform(
-                _marks(b),
-                lambda p: F.struct(unescape(F.regexp_extract(b, "^<turn ([^>]*)>", 1)).alias("role"), unescape(_behind(p)).alias("text")),
-            ),
-        )
+        F.transform(parts, lambda s: F.transform(s["pieces"], lambda p: F.struct(s["role"].alias("role"), unescape(_behind(p)).alias("text"))))
     )
 
 

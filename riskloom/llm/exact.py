@@ -133,12 +133,16 @@ def groups(docs: DataFrame, key: str = "doc_id", text: str = "text", keep: str =
     rows = _stitches(runs, [(p, 0, *b) for p, b in began.items()], "pid int, run bigint, at_pid int, at_run bigint")
     rows = rows.join(F.broadcast(docs.sparkSession.createDataFrame([*on.items()], "pid int, run bigint").withColumn("goes_on", F.lit(True))), ["pid", "run"], "left")
     rows = rows.select(
-        "id", "sha", F.struct(F.coalesce("at_pid", "pid").alias("pid"), F.coalesce("at_run", "run").alias("run")).alias("g"),
+        "id", "sha", "pid", "run", F.struct(F.coalesce("at_pid", "pid").alias("pid"), F.coalesce("at_run", "run").alias("run")).alias("g"),
         (F.col("ends") & F.col("goes_on").isNull()).alias("kept"),
     )
-    best = F.max("id") if keep == "largest" else F.min("id")
-    many = rows.groupBy("g").agg(best.alias("keep_id"), F.count(F.lit(1)).alias("group_size")).where("group_size > 1")
-    found = rows.join(many, "g", "left")
+    best, total = (F.max if keep == "largest" else F.min), F.sum
+    # a run lies in one partition: a group that fills many is joined run by run, not in one task
+    by_run = rows.groupBy("pid", "run").agg(F.first("g").alias("g"), best("id").alias("best"), F.count(F.lit(1)).alias("n"))
+    by_run = scratch(by_run.where((F.col("n") > 1) | F.col("g.pid").isin([b[0] for b in began.values()])), "run-sizes")
+    many = by_run.groupBy("g").agg(best("best").alias("keep_id"), total("n").alias("group_size")).where("group_size > 1")
+    sizes = by_run.join(many, "g").select("pid", "run", "keep_id", "group_size")
+    found = rows.join(sizes, ["pid", "run"], "left")
     return found.select(
         F.col("id").alias(key),
         F.when(F.col("group_size").isNull(), F.col("id")).otherwise(F.col("keep_id")).alias("keep_id"),

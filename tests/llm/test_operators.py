@@ -375,3 +375,20 @@ def test_nearest(spark):
     got = {(r.query_id, r["rank"]): (r.vec_id, round(r.score, 12)) for r in graph.nearest(spark.createDataFrame(far, "vec_id long, embedding array<double>")).collect()}
     assert [got[0, i] for i in (1, 2, 3, 4)] == [(50, 1.0), (52, 1.0), (53, 1.0), (51, 0.8)] and got[50, 1] == (0, 1.0)
     assert [v for (q, _), (v, _) in got.items() if q == 100] == [101]
+
+
+def test_reading_merged_turns_is_linear(spark):
+    """Twice as many turns of one role in a row take about twice as long, not four times."""
+    import time
+
+    def seconds(n):
+        rows = [(1, i, "user", f"turn {i} of many words") for i in range(n)]
+        made = chat.format_chats(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string"))
+        cut_ = made.select("formatted").first()["formatted"]
+        one = spark.createDataFrame([(cut_,)], "f string").select(F.size(chat.read_turns(F.col("f"))).alias("n"))
+        start = time.perf_counter()
+        assert one.first()["n"] == n
+        return time.perf_counter() - start
+
+    seconds(4000)
+    assert seconds(32000) < 8 * max(seconds(8000), 0.25)
