@@ -30,14 +30,25 @@ def process_cache(key: object, make: Callable[[], object]) -> object:
     A new value takes the place of what other operators left in the worker, so that their
     memos do not add up over the stages of a job.
     """
-    store = sys.modules.setdefault("_llm_process_cache", types.ModuleType("_llm_process_cache")).__dict__
+    store = _store()
     if key not in store:
-        for old in [k for k in store if isinstance(k, tuple)]:
-            del store[old]
+        fresh_worker()
         store[key] = make()
     return store[key]
 
 
+def _store() -> dict:
+    return sys.modules.setdefault("_llm_process_cache", types.ModuleType("_llm_process_cache")).__dict__
+
+
+def fresh_worker() -> None:
+    """Drop what other operators left in this Python worker and hand freed memory back."""
+    store = _store()
+    for old in [k for k in store if isinstance(k, tuple)]:
+        del store[old]
+    pa.default_memory_pool().release_unused()
+
+
 class BoundedMemo(dict):
     """A memo of a pure function that forgets everything once it holds ``most`` entries."""
 

@@ -52,8 +52,8 @@ class WordCoder:
         self.added = [t["content"] for t in spec.get("added_tokens", [])]
         self.splits = regex.compile(split[0])
         self.bytewise = tokenizers.pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
-        self.pieces = BoundedMemo(self._piece, 500_000)
-        self.words = BoundedMemo(self._word, 600_000)
+        self.pieces = BoundedMemo(self._piece, 250_000)
+        self.words = BoundedMemo(self._word, 300_000)
 
     def _piece(self, piece: str) -> bytes:
         # printable ASCII stands for itself

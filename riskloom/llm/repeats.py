@@ -33,7 +33,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from riskloom.llm import lyndon, seeds
-from riskloom.llm.common import partitions, quoted, text_of
+from riskloom.llm.common import fresh_worker, partitions, quoted, text_of
 from riskloom.llm.seeds import GRAM, LENGTH
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -90,6 +90,7 @@ def _collapse(groups: int):
 
 def _texts(table: pa.Table) -> tuple[list[bytes], list[bytes], np.ndarray]:
     """(hash, text, smallest id) of a group's texts, by hash: the same numbers whenever it is read."""
+    fresh_worker()
     known: dict[bytes, list] = {}
     for s, d, t in zip(*(table.column(c).to_pylist() for c in ("sha", "id", "text"))):
         seen = known.setdefault(s, [d, t])

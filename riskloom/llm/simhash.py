@@ -31,7 +31,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 from xxhash import xxh64_intdigest
 
-from riskloom.llm.common import quoted, scratch, spare, text_of
+from riskloom.llm.common import fresh_worker, quoted, scratch, spare, text_of
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -68,6 +68,7 @@ def fingerprints(docs: DataFrame, key: str = "doc_id", text: str = "text", words
     kind = docs.schema[key].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        fresh_worker()
         for batch in batches:
             made = np.array([fingerprint(t, words, seed) for t in batch.column("text").cast(pa.binary()).to_pylist()], np.uint64)
             yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(made.view(np.int64))], names=["id", "fp"])
