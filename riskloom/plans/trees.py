@@ -21,7 +21,7 @@ from __future__ import annotations
 import hashlib
 import sys
 from collections.abc import Iterator, Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, fields
 from functools import reduce
 
 import numpy as np
@@ -248,7 +248,8 @@ class Trees:
         if self.nodes.count() > MOST_NODES:
             return self._scores_by_joins(data, keep)
         known = _Forest.of(self.nodes.toPandas())
-        shared = data.sparkSession.sparkContext.broadcast(known)
+        # plain arrays: workers need no copy of this package to read them
+        shared = data.sparkSession.sparkContext.broadcast([getattr(known, f.name) for f in fields(known)])
         slim = data.select(*keep, as_array(data).alias("_x"))
         schema = slim.drop("_x").schema.add("score", "double")
         out = slim.mapInArrow(_scoring(shared), schema)
@@ -317,7 +318,7 @@ class _Forest:
 
 def _scoring(shared: object):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        forest = shared.value
+        forest = _Forest(*shared.value)
         for batch in batches:
             at = batch.schema.get_field_index("_x")
             n = batch.num_rows
