@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import ctypes
 import functools
+import gc
 import sys
 import types
 import uuid
@@ -46,7 +48,13 @@ def fresh_worker() -> None:
     store = _store()
     for old in [k for k in store if isinstance(k, tuple)]:
         del store[old]
+    gc.collect()
     pa.default_memory_pool().release_unused()
+    if sys.platform.startswith("linux"):
+        # what the C library keeps of freed memory counts against the executor's limit
+        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+        if trim:
+            trim(0)
 
 
 class BoundedMemo(dict):

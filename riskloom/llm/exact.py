@@ -25,7 +25,7 @@ from pyspark import TaskContext, cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskloom.llm.common import partitions, quoted, scratch, text_of
+from riskloom.llm.common import fresh_worker, partitions, quoted, scratch, text_of
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -33,6 +33,7 @@ PREFIX = 64
 
 
 def _normalise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    fresh_worker()
     for batch in batches:
         text = pc.ascii_lower(batch.column("text")).cast(pa.binary())
         sha = pa.array([hashlib.sha256(t).digest() for t in text.to_pylist()], pa.binary())
