@@ -12,7 +12,7 @@ from collections.abc import Callable, Iterator
 from contextvars import ContextVar
 
 import pyarrow as pa
-from pyspark import cloudpickle
+from pyspark import TaskContext, cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -44,8 +44,13 @@ def _store() -> dict:
 
 
 def fresh_worker() -> None:
-    """Drop what other operators left in this Python worker and hand freed memory back."""
+    """Drop what other operators left in this Python worker and hand freed memory back, once a task."""
     store = _store()
+    task = TaskContext.get()
+    mine = task.taskAttemptId() if task else None
+    if mine is not None and store.get("task") == mine:
+        return
+    store["task"] = mine
     for old in [k for k in store if isinstance(k, tuple)]:
         del store[old]
     gc.collect()
