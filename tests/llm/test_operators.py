@@ -3,6 +3,7 @@
 import base64
 import hashlib
 import random
+import re
 import zlib
 
 import numpy as np
@@ -333,6 +334,46 @@ def test_token_tree():
     assert long.encoded < 20
 
 
+def test_kept_leaves_spare_the_next_run(spark):
+    """Two batches of edits, the second on the leaves of the first, against counting from scratch."""
+    path = P.path("byte_bpe_50k.tiktoken")
+    split, tokens = counts.token_counter(path, P.PATTERN)
+    rnd = random.Random(5)
+    letters = "ab '  \n1é.s日"
+    texts = ["".join(rnd.choice(letters) for _ in range(rnd.randrange(80))) for _ in range(120)] + ["", None, "same words again " * 3000]
+    edit = lambda: (rnd.randrange(90), rnd.randrange(5), "".join(rnd.choice(letters) for _ in range(rnd.randrange(8))))
+    rows = [(i, t, [edit() for _ in range(rnd.randrange(4))] or None) for i, t in enumerate(texts)]
+    kind = "doc_id long, text string, edits array<struct<start:long,length:long,insert:string>>"
+    first = counts.count_tokens(spark.createDataFrame(rows, kind), path, P.PATTERN, "edits", keep_leaves=True).collect()
+    assert not any(r.reused for r in first)
+    again = [(r.doc_id, r.edited, [edit()], r.leaves) for r in first]
+    odd = [(900, "other text", None, first[0].leaves), (901, "a b", None, None), (902, "a b", None, (0, [1], [1, 1])), (903, "a b", [None], (0, [None], [1]))]
+    second = spark.createDataFrame(again + odd, f"{kind}, leaves {counts.LEAVES}")
+    got = {r.doc_id: r for r in counts.count_tokens(second, path, P.PATTERN, "edits", leaves="leaves", keep_leaves=True).collect()}
+    for r in first:
+        now = got[r.doc_id]
+        assert now.reused and now.n_tokens == r.n_tokens_edited
+        assert now.n_tokens_edited == sum(tokens[x] for x in split.findall(now.edited))
+        for x in (r, now):
+            found = split.findall(x.edited)
+            assert list(x.leaves.chars) == [len(w) for w in found] and list(x.leaves.tokens) == [tokens[w] for w in found]
+    assert got[len(texts) - 1].n_encoded < 30
+    for i, *_ in odd:
+        assert not got[i].reused and got[i].n_tokens == sum(tokens[x] for x in split.findall(got[i].edited))
+
+
+def test_query_counts_equal_the_library(spark, sf):
+    """Both counts of every document of the registered query, against the tokenizer itself."""
+    whole = bpe.encoding(P.path("byte_bpe_50k.tiktoken"), P.PATTERN)[0]
+    texts = {r.doc_id: r.text or "" for r in spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text").collect()}
+    got = queries.QUERIES["op8_token_counts"](spark, sf).collect()
+    assert len(got) == len(texts)
+    for r in got:
+        masked = re.sub(r"\d{3,}", "000", texts[r.doc_id])
+        assert r.n_tokens == len(whole.encode_ordinary(texts[r.doc_id]))
+        assert r.n_tokens_edited == len(whole.encode_ordinary(masked))
+
+
 def test_token_counts(spark, awkward):
     path = P.path("byte_bpe_50k.tiktoken")
     pattern, tokens = counts.token_counter(path, P.PATTERN)
