@@ -2,8 +2,9 @@
 
 Two generative models of hashed byte n-grams: one counts all documents (raw), one a
 sample of labelled good ones (target). A document's log weight is its log-likelihood
-ratio, the sum over its n-grams divided by the square root of their number, so that long
-documents do not win by length alone. Adding Gumbel noise to the log weights and taking
+ratio, the sum over its n-grams. A ``power`` above 0 divides it by that power of their
+number: with 0.5 the weights of long and short documents have noise of one size, with 1
+they are means. Adding Gumbel noise to the log weights and taking
 the k largest draws k documents without replacement in proportion to the weights. The
 noise hashes seed and id: a recomputed task draws the same.
 """
@@ -55,9 +56,10 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def fit(docs: DataFrame, good: DataFrame, key: str = "doc_id", text: str = "text", target_rows: int = TARGET_ROWS) -> np.ndarray:
     """Log ratio per bucket. ``good`` holds ids of target documents; of them the ``target_rows``
     with the lowest hashes are used, the raw counts cover every document."""
-    chosen = good.select(F.col(quoted(key)).alias("__id")).where("__id is not null").distinct().orderBy(F.xxhash64("__id"), "__id").limit(target_rows)
-    rows = docs.join(F.broadcast(chosen.withColumn("__good", F.lit(True))), docs[quoted(key)] == F.col("__id"), "left")
-    rows = rows.select(text_of(text).alias("text"), F.coalesce("__good", F.lit(False)).alias("good"))
+    known = good.select(F.col(quoted(key)).alias("chosen")).where("chosen is not null").distinct()
+    chosen = known.orderBy(F.xxhash64("chosen"), "chosen").limit(target_rows).withColumn("good", F.lit(True))
+    slim = docs.select(F.col(quoted(key)).alias("id"), text_of(text).alias("text"))
+    rows = slim.join(F.broadcast(chosen), F.col("id") == F.col("chosen"), "left").select("text", F.coalesce("good", F.lit(False)).alias("good"))
     counts = rows.mapInArrow(_count, "bucket int, raw bigint, target bigint").groupBy("bucket").agg(F.sum("raw").alias("raw"), F.sum("target").alias("target"))
     raw, target = np.zeros(BUCKETS), np.zeros(BUCKETS)
     for r in counts.collect():  # one row per bucket
@@ -65,7 +67,7 @@ def fit(docs: DataFrame, good: DataFrame, key: str = "doc_id", text: str = "text
     return np.log((target + 1) / (target.sum() + BUCKETS)) - np.log((raw + 1) / (raw.sum() + BUCKETS))
 
 
-def weigh(docs: DataFrame, ratio: np.ndarray, key: str = "doc_id", text: str = "text") -> DataFrame:
+def weigh(docs: DataFrame, ratio: np.ndarray, key: str = "doc_id", text: str = "text", power: float = 0.0) -> DataFrame:
     """(id, log_weight) of every row; null and empty texts weigh 0."""
     kind = docs.schema[key].dataType.simpleString()
 
@@ -74,7 +76,7 @@ def weigh(docs: DataFrame, ratio: np.ndarray, key: str = "doc_id", text: str = "
             out = []
             for t in batch.column("text").cast(pa.binary()).to_pylist():
                 found = grams(t)
-                out.append(float(ratio[found].sum() / np.sqrt(len(found))) if len(found) else 0.0)
+                out.append(float(ratio[found].sum() / len(found) ** power) if len(found) else 0.0)
             yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(out, pa.float64())], names=["id", "log_weight"])
 
     return docs.select(F.col(quoted(key)).alias("id"), text_of(text).alias("text")).mapInArrow(run, f"id {kind}, log_weight double")
@@ -85,7 +87,7 @@ def gumbel(key: Column, seed: int) -> Column:
     return -F.log(-F.log(unit))
 
 
-def resample(docs: DataFrame, good: DataFrame, share: float, key: str = "doc_id", text: str = "text", seed: int = 11) -> DataFrame:
+def resample(docs: DataFrame, good: DataFrame, share: float, key: str = "doc_id", text: str = "text", seed: int = 11, power: float = 0.0) -> DataFrame:
     """(doc_id, log_weight, draw, selected) of every row; the rows of the largest draws are selected.
 
     ceil(share x rows) are. Equal draws (repeated ids with equal weights) go by the place in
@@ -93,7 +95,7 @@ def resample(docs: DataFrame, good: DataFrame, share: float, key: str = "doc_id"
     """
     if not 0 <= share <= 1:
         raise ValueError("share lies between 0 and 1")
-    made = weigh(docs, fit(docs, good, key, text), key, text)
+    made = weigh(docs, fit(docs, good, key, text), key, text, power)
     made = scratch(made.select("id", "log_weight", (F.col("log_weight") + gumbel(F.col("id"), seed)).alias("draw")), "draws")
     total = made.count()
     placed = dense_positions(made, ["draw", "id", "log_weight"], ["draw"], "place")

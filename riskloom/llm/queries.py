@@ -111,7 +111,7 @@ def op10_nearest(spark: SparkSession, folder: str) -> DataFrame:
 def op6_importance(spark: SparkSession, folder: str) -> DataFrame:
     docs = read(spark, folder, "documents").select("doc_id", "text")
     good = read(spark, folder, "labels").where((F.col("quality") == 1) & ~toxicity.held_out())
-    return importance.resample(docs, good, 0.5)
+    return importance.resample(docs, good, 0.5, power=0.5)
 
 
 @register

@@ -298,6 +298,44 @@ def test_importance(spark):
     assert all(r.draw <= lowest for r in got if not r.selected)
 
 
+def test_importance_weights_against_brute_force(spark):
+    """Both models, the plain and the scaled ratio, and the draw, counted gram by gram; clashing columns."""
+    rnd = random.Random(9)
+    texts = {i: "".join(rnd.choice("ab é\n") for _ in range(rnd.choice([0, 2, 3, 4, 40, 5000]))) for i in range(60)}
+    rows = [(i, t, 1, True, "x", 2.0) for i, t in texts.items()] + [(7, texts[7], 1, True, "x", 2.0), (None, None, None, None, None, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, __id int, good boolean, chosen string, log_weight double")
+    good = spark.createDataFrame([(i, 5) for i in range(0, 60, 3)] + [(None, 5), (0, 5), (777, 5)], "doc_id long, good int")
+
+    def buckets(text):
+        data = (text or "").encode()
+        for at in range(len(data) - 3):
+            h = data[at]
+            for b in data[at + 1 : at + 4]:
+                h = (h * 0x01000193 + b) % 2**32
+            yield h * 0x9E3779B1 % 2**32 >> 16
+
+    raw, target = {}, {}
+    for i, t, *_ in rows:
+        for b in buckets(t):
+            raw[b] = raw.get(b, 0) + 1
+            if i is not None and i % 3 == 0:
+                target[b] = target.get(b, 0) + 1
+    n, m = sum(raw.values()), sum(target.values())
+
+    def weight(text, power):
+        found = list(buckets(text))
+        parts = [np.log((target.get(b, 0) + 1) / (m + 65536)) - np.log((raw.get(b, 0) + 1) / (n + 65536)) for b in found]
+        return sum(parts) / len(found) ** power if found else 0.0
+
+    noise = {r.doc_id: r.g for r in docs.select("doc_id", importance.gumbel(F.col("doc_id"), 11).alias("g")).collect()}
+    for power in (0.0, 0.5):
+        got = importance.resample(docs, good, 0.25, power=power).collect()
+        assert len(got) == len(rows) and sum(r.selected for r in got) == -(-len(rows) // 4)
+        for r in got:
+            want = weight(texts.get(r.doc_id), power)
+            assert abs(r.log_weight - want) < 1e-8 * max(1, abs(want)) and abs(r.draw - want - noise[r.doc_id]) < 1e-7 * max(1, abs(want))
+
+
 def test_chat(spark):
     hard = ["<next>", "a\\l<b", "</turn>\n<turn user>x", "\\", "\\b", ">", "", None, "é<", "<turn assistant>"]
     rows = [(c, t, ["user", "assistant", "a>s<\\", None][(t // 2 + c) % 4], hard[(t * 7 + c) % 10], "x") for c in range(8) for t in range(9)]
