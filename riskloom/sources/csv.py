@@ -20,11 +20,14 @@ def read_csv(
     null_token: str = "",
     sep: str = ",",
     encoding: str = "UTF-8",
+    line_breaks: bool = True,
 ) -> DataFrame:
     """A CSV file with header; the unnamed or first column becomes ``row_key``.
 
     Doubled quotes and line breaks inside quotes are read as written, so a file is read by
-    one task: large tables come in many part files. Give a schema for them: without one the
+    one task: large tables come in many part files. ``line_breaks=False`` says that no cell
+    holds a line break, and large files are split over tasks; a cell that holds one all the
+    same leaves a line of the wrong length, which raises. Give a schema for large tables: without one the
     types are inferred by an extra scan. A cell that does not fit its type raises;
     an empty one is null, quoted or not.
     """
@@ -33,7 +36,7 @@ def read_csv(
         .option("sep", sep)
         .option("encoding", encoding)
         .option("nullValue", null_token)
-        .options(**_TEXT)
+        .options(**{**_TEXT, "multiLine": str(line_breaks).lower()})
         .option("mode", "FAILFAST")
     )
     reader = reader.schema(schema) if schema is not None else reader.option("inferSchema", True)

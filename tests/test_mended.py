@@ -29,6 +29,27 @@ def test_csv_gives_back_quotes_line_breaks_and_times(spark, sf):
     assert back.exceptAll(rows).count() == 0 and rows.exceptAll(back).count() == 0
 
 
+def test_csv_without_line_breaks_is_split_over_tasks(spark):
+    rows = spark.range(60_000).select("id", F.concat(F.lit('a "quoted", '), F.col("id")).alias("b")).coalesce(1)
+    path = fresh_path(spark, "csv")
+    write_csv(rows, path)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "200k")
+    spark.conf.set("spark.sql.files.openCostInBytes", "1k")
+    try:
+        whole = read_csv(spark, path, "id bigint, b string", row_key=None)
+        parts = read_csv(spark, path, "id bigint, b string", row_key=None, line_breaks=False)
+        assert whole.select(F.spark_partition_id()).distinct().count() == 1
+        assert parts.select(F.spark_partition_id()).distinct().count() > 4
+        assert parts.exceptAll(rows).count() == 0 and parts.count() == whole.count() == 60_000
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    broken = fresh_path(spark, "csv")
+    write_csv(spark.createDataFrame([(1, "x\ny")], "a long, b string"), broken)
+    with pytest.raises(Exception):
+        read_csv(spark, broken, "a bigint, b string", line_breaks=False).collect()
+
+
 def test_csv_reports_a_cell_that_does_not_fit(spark):
     path = fresh_path(spark, "csv")
     write_csv(spark.createDataFrame([(1, "x7")], "a long, b string"), path)
