@@ -21,7 +21,7 @@ contractions over written tables.
 from __future__ import annotations
 
 import sys
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -43,19 +43,25 @@ SMALL = 64
 FOLD = bytes(32 if b in (9, 10, 11, 12, 13, 32) else b for b in range(256)).lower()
 
 
-def fingerprint(text: bytes, words: int = 3, seed: int = 42) -> int:
-    """Majority bits of the shingles' hashes; 0 without words."""
+def shingle_hashes(text: bytes, words: int = 3, seed: int = 42) -> list[int]:
+    """XXH64 of every shingle, repeats included; nothing without words."""
     found = [w for w in text.translate(FOLD).split(b" ") if w]
     if not found:
-        return 0
+        return []
+    joined = b" ".join(found)
     if len(found) <= words:
-        hashes = [xxh64_intdigest(b" ".join(found), seed)]
-    else:
-        joined = b" ".join(found)
-        ends = np.cumsum([len(w) + 1 for w in found]) - 1
-        starts = np.concatenate([[0], ends[:-1] + 1])
-        last = len(found) - words + 1
-        hashes = [xxh64_intdigest(joined[a:b], seed) for a, b in zip(starts[:last].tolist(), ends[words - 1 :].tolist())]
+        return [xxh64_intdigest(joined, seed)]
+    ends = np.cumsum([len(w) + 1 for w in found]) - 1
+    starts = np.concatenate([[0], ends[:-1] + 1])
+    last = len(found) - words + 1
+    return [xxh64_intdigest(joined[a:b], seed) for a, b in zip(starts[:last].tolist(), ends[words - 1 :].tolist())]
+
+
+def fingerprint(text: bytes, words: int = 3, seed: int = 42) -> int:
+    """Majority bits of the shingles' hashes; 0 without words."""
+    hashes = shingle_hashes(text, words, seed)
+    if not hashes:
+        return 0
     bits = np.zeros(64, np.int64)
     for at in range(0, len(hashes), 65_536):
         block = np.array(hashes[at : at + 65_536], ">u8")
@@ -187,17 +193,29 @@ def keep_first(docs: DataFrame, key: str = "doc_id", text: str = "text", words:
     of equal texts). Rows are told apart by a number of their own, never by their id: equal
     or null ids in other components neither drop nor keep a row.
     """
-    place = spare(docs, "__place")
-    rows = scratch(docs.withColumn(place, F.monotonically_increasing_id()), "rows")
-    at = F.struct(F.col(place).alias("place"), F.col(quoted(key)).alias("id")).alias("at")
-    made = fingerprints(rows.select(at, F.col(quoted(text)).alias("text")), "at", "text", words, seed)
+    rows, place = number_rows(docs)
+    made = fingerprints(rows.select(row_at(place, key), F.col(quoted(text)).alias("text")), "at", "text", words, seed)
     made = scratch(made.select("id.place", "id.id", "fp"), "fingerprints")
+    return keep_one(rows, place, text, made, links)
+
+
+def number_rows(docs: DataFrame) -> tuple[DataFrame, str]:
+    """The rows with a number of their own, written once, and the name of its column."""
+    place = spare(docs, "__place")
+    return scratch(docs.withColumn(place, F.monotonically_increasing_id()), "rows"), place
 
+
+def row_at(place: str, key: str) -> Column:
+    return F.struct(F.col(place).alias("place"), F.col(quoted(key)).alias("id")).alias("at")
+
+
+def keep_one(rows: DataFrame, place: str, text: str, made: DataFrame, link: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """Of each component of ``made`` (place, id, fp) under ``link`` the row that ``keep_first`` describes."""
     # the smallest id, how many rows have it, and one of them: of each fingerprint, then of each component
     least = F.min(F.struct(F.col("id").isNull().alias("none"), "id", "n", "place")).alias("least")
     nodes = made.groupBy("fp", "id").agg(F.count(F.lit(1)).alias("n"), F.min("place").alias("place"))
     nodes = scratch(nodes.groupBy("fp").agg(least).select("fp", "least.id", "least.n", "least.place"), "nodes")
-    rooted = components(links(nodes))
+    rooted = components(link(nodes))
     joined = nodes.join(rooted, nodes["fp"] == rooted["node"], "left").select("fp", "id", "n", "place", F.coalesce("root", "fp").alias("root"))
     joined = scratch(joined, "rooted")
     first = joined.groupBy("root", "id").agg(F.sum("n").alias("n"), F.min("place").alias("place"))
