@@ -120,3 +120,24 @@ def test_drawn_thresholds_lie_inside_their_node(spark):
     key = lambda t: sorted(map(str, ((r.tree, r.node, r.feature, r.threshold) for r in t.nodes.collect())))
     assert key(grown) == key(again)
     assert grown.nodes.select(F.max(F.length("node"))).first()[0] <= 2
+
+
+def test_rows_are_written_once_and_the_driver_keeps_large_nodes_only(spark, monkeypatch):
+    """Passes leave the rows where they are; nodes that one task finishes never come to the driver."""
+    rows = [([float(i * 37 % 400), float(i % 3)], i * 7919 % 13 % 2, 1.0) for i in range(400)]
+    data, written, keep = frame(spark, rows), [], T.cut
+    monkeypatch.setattr(T, "cut", lambda df: written.append(1) or keep(df))
+    grown = T.grow(data, ["a", "b"], T.Growth(local_rows=60))
+    assert len(written) == 2
+    assert table(grown) == brute(rows)
+    large = sum(r.n0 + r.n1 > 60 for r in grown.nodes.collect())
+    assert len(grown.top.tree) <= 2 * large + 1 < grown.nodes.count() / 3
+
+
+@pytest.mark.parametrize("bins", [2, 3, 1024])
+def test_bins_bracket_and_do_not_cut(spark, monkeypatch, bins):
+    """Whatever the edges, the split is the best of all boundaries."""
+    monkeypatch.setattr(T, "BINS", bins)
+    rows = sample(300, 4)
+    got = table(T.grow(frame(spark, rows), NAMES, T.Growth(max_depth=2, criterion="entropy" if bins == 3 else "gini", local_rows=0)))
+    assert got == brute(rows, 2, "entropy" if bins == 3 else "gini")
