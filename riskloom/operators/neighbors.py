@@ -64,11 +64,11 @@ class _Cells:
         node, path = np.zeros(len(x), np.int64), []
         while True:
             nxt, far = np.full(len(x), -1, np.int64), np.zeros(len(x))
-            for at in np.unique(node):
-                kids = self.kids.get(int(at))
+            order = np.argsort(node, kind="stable")
+            for rows in np.split(order, np.flatnonzero(np.diff(node[order])) + 1) if len(x) else []:
+                kids = self.kids.get(int(node[rows[0]]))
                 if kids is None:
                     continue
-                rows = np.flatnonzero(node == at)
                 p = self.pivot[kids]
                 nearest = np.argmin((p * p).sum(axis=1) - 2 * (x[rows] @ p.T), axis=1)
                 nxt[rows] = kids[nearest]
@@ -151,26 +151,39 @@ def _matrix(points: pd.Series) -> np.ndarray:
     return np.stack(points.to_numpy()).astype(np.float64) if len(points) else np.zeros((0, 1))
 
 
-def _nearest(q: np.ndarray, c: np.ndarray, cid: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Per query the k smallest (squared distance, candidate id): row, distance, column."""
+def _nearest(q: np.ndarray, c: np.ndarray, cid: np.ndarray, k: int, limit: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Per query the k smallest (squared distance, candidate id): row, distance, column.
+
+    A matrix product tells which candidates can be among them; only those are measured, dimension by
+    dimension. Candidates beyond a query's ``limit`` may be left out.
+    """
     rows, dists, cols = [], [], []
     step = max(1, 2_000_000 // max(1, len(c)))
+    centre = c.mean(axis=0)
+    around, kk = c - centre, min(k, len(c))
+    square = (around * around).sum(axis=1)
     for lo in range(0, len(q), step):
         part = q[lo : lo + step]
-        d = np.zeros((len(part), len(c)))
-        for j in range(q.shape[1]):
-            diff = part[:, j, None] - c[None, :, j]
+        from_centre = part - centre
+        own = (from_centre * from_centre).sum(axis=1)
+        rough = square[None, :] - 2 * (from_centre @ around.T) + own[:, None]
+        # what rounding may change in it, here or in what it is compared with
+        slack = 8 * (q.shape[1] + 4) * np.finfo(float).eps * (own + square.max(initial=0.0) + (centre * centre).sum() * np.finfo(float).eps)
+        reach = None if limit is None else limit[lo : lo + step] * (1 + SLACK) + slack
+        if reach is None or np.count_nonzero(rough <= reach[:, None]) > 16 * kk * len(part):
+            kth = np.partition(rough, kk - 1, axis=1)[:, kk - 1] + 2 * slack
+            reach = kth if reach is None else np.minimum(kth, reach)
+        r, j = np.nonzero(rough <= reach[:, None])
+        d = np.zeros(len(r))
+        for f in range(q.shape[1]):
+            diff = part[r, f] - c[j, f]
             d += diff * diff
-        kk = min(k, len(c))
-        bound = np.partition(d, kk - 1, axis=1)[:, kk - 1]
-        r, j = np.nonzero(d <= bound[:, None])
-        order = np.lexsort((cid[j], d[r, j], r))
-        r, j = r[order], j[order]
+        order = np.lexsort((cid[j], d, r))
+        r, j, d = r[order], j[order], d[order]
         first = np.searchsorted(r, np.arange(len(part)))
-        rank = np.arange(len(r)) - first[r]
-        keep = rank < kk
+        keep = np.arange(len(r)) - first[r] < kk
         rows.append(r[keep] + lo)
-        dists.append(d[r[keep], j[keep]])
+        dists.append(d[keep])
         cols.append(j[keep])
     if not rows:
         none = np.zeros(0, dtype=np.int64)
@@ -185,7 +198,8 @@ def _search(queries: DataFrame, cands: DataFrame, k: int) -> DataFrame:
     def run(q: pd.DataFrame, c: pd.DataFrame) -> pd.DataFrame:
         if q.empty or c.empty:
             return pd.DataFrame({"qid": [], "cid": [], "dist": []}).astype({"qid": "int64", "cid": "int64"})
-        r, d, j = _nearest(_matrix(q["x"]), _matrix(c["x"]), c["cid"].to_numpy(), k)
+        limit = q["limit"].astype(float).fillna(np.inf).to_numpy() if "limit" in q else None
+        r, d, j = _nearest(_matrix(q["x"]), _matrix(c["x"]), c["cid"].to_numpy(), k, limit)
         return pd.DataFrame({"qid": q["qid"].to_numpy()[r], "cid": c["cid"].to_numpy()[j], "dist": d})
 
     return queries.groupBy(*group).cogroup(cands.groupBy(*group)).applyInPandas(
@@ -257,8 +271,9 @@ def nearest(queries: DataFrame, candidates: DataFrame, k: int = 1, block: int =
         _measure(cells, cands)
         seen = 0
         for more in ROUNDS:
-            pairs = cut(_pairs(cells, here, first, k, seen, more))
-            met = pairs.where("box >= 0").join(here.select("qid", "x"), "qid")
+            asking = here.join(_limits(first, k), "qid", "left")
+            pairs = cut(_pairs(cells, asking, seen, more))
+            met = pairs.where("box >= 0").join(asking.select("qid", "x", "limit"), "qid")
             first = cut(_top_k(first.unionByName(_box_search(met, cands, k, block, leaves)), k).select("qid", "cid", "dist"))
             seen += more or 0
             if pairs.where(F.col("box") == MORE).isEmpty():
@@ -273,14 +288,18 @@ def nearest(queries: DataFrame, candidates: DataFrame, k: int = 1, block: int =
     return lookup_join(reps, answers, ["rep"], "qid", how="inner").select("qid", "cid", "dist", "rank")
 
 
-def _pairs(cells: _Cells, here: DataFrame, found: DataFrame, k: int, seen: int, more: int | None) -> DataFrame:
+def _limits(found: DataFrame, k: int) -> DataFrame:
+    """(qid, limit): how far a query's k-th neighbour is so far; null with fewer."""
+    bound = found.groupBy("qid").agg(F.count(F.lit(1)).alias("n"), F.max("dist").alias("dist"))
+    return bound.select("qid", F.when(F.col("n") >= k, F.col("dist")).alias("limit"))
+
+
+def _pairs(cells: _Cells, asking: DataFrame, seen: int, more: int | None) -> DataFrame:
     """(qid, box) of the next ``more`` cells, behind the ``seen`` nearest, that may improve a query's answer; ``MORE`` if others are left.
 
     Cells are ordered by their bound, which does not depend on what has been found: a tighter
     bound shortens the list at its end, so the first ``seen`` are those searched before.
     """
-    bound = found.groupBy("qid").agg(F.count(F.lit(1)).alias("n"), F.max("dist").alias("dist"))
-    bound = bound.select("qid", F.when(F.col("n") >= k, F.col("dist")).alias("limit"))
 
     @F.pandas_udf("array<int>")
     def boxes_near(x: pd.Series, own: pd.Series, limit: pd.Series) -> pd.Series:
@@ -297,7 +316,7 @@ def _pairs(cells: _Cells, here: DataFrame, found: DataFrame, k: int, seen: int,
             out.append(np.append(leaf[min(b, a + seen) : end], [MORE] if end < b else []).astype(np.int32))
         return pd.Series(out)
 
-    away = here.join(bound, "qid", "left").select("qid", boxes_near("x", "box", "limit").alias("boxes"))
+    away = asking.select("qid", boxes_near("x", "box", "limit").alias("boxes"))
     return away.select("qid", F.explode("boxes").alias("box"))
 
 

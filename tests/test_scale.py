@@ -241,3 +241,32 @@ def test_recipe_goes_over_to_sparse_vectors(spark):
     assert all(got[i].same == int((i == 7) == (i % 2 == 0)) for i in got)
     few = RC.FeatureRecipe(one_hot_cols=["c"], sparse=True).fit(df.where("row_id < 5")).transform(df.where("row_id in (1, 9)"))
     assert sorted((r.row_id, r.one_hot.numNonzeros()) for r in few.collect()) == [(1, 1), (9, 0)]
+
+
+def test_a_limit_and_a_rough_distance_lose_no_neighbour():
+    """Far from zero, with ties: the same as measuring every pair; a limit leaves out only what is beyond it."""
+    rng = np.random.default_rng(5)
+    c, q = rng.integers(0, 4, (300, 3)) + 1e6, rng.integers(0, 4, (50, 3)) + 1e6
+    cid = rng.permutation(300)
+    row, dist, col = N._nearest(q, c, cid, 7)
+    every = ((q[:, None, :] - c[None, :, :]) ** 2).sum(axis=2)
+    for i in range(50):
+        want = sorted(zip(every[i], cid))[:7]
+        assert list(zip(dist[row == i], cid[col[row == i]])) == want
+    limit = np.full(50, 2.0)
+    row, dist, col = N._nearest(q, c, cid, 300, limit)
+    for i in range(50):
+        got = set(zip(dist[row == i], cid[col[row == i]]))
+        assert {(d, n) for d, n in zip(every[i], cid) if d <= 2} <= got
+
+
+def test_points_are_located_without_a_pass_for_each_cell(monkeypatch):
+    """A batch is sorted by cell once a level; it is not searched for every cell."""
+    rng = np.random.default_rng(1)
+    cells = N._Cells(2)
+    cells.split(0, rng.random((60, 2)))
+    for kid in list(cells.kids[0]):
+        cells.split(int(kid), rng.random((5, 2)))
+    monkeypatch.setattr(N.np, "unique", lambda *a, **k: pytest.fail("searched"))
+    leaf, path = cells.locate(rng.random((500, 2)))
+    assert len(path) == 2 and (leaf == path[1][0]).all()
