@@ -6,6 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from riskloom.plans import models as M
 from riskloom.plans import trees as T
 
 
@@ -141,3 +142,25 @@ def test_bins_bracket_and_do_not_cut(spark, monkeypatch, bins):
     rows = sample(300, 4)
     got = table(T.grow(frame(spark, rows), NAMES, T.Growth(max_depth=2, criterion="entropy" if bins == 3 else "gini", local_rows=0)))
     assert got == brute(rows, 2, "entropy" if bins == 3 else "gini")
+
+
+@pytest.mark.parametrize("kind,params", [("forest", {"n_estimators": 3, "max_depth": None}), ("bagging", {"n_estimators": 3, "max_features": 0.5, "base_estimator": ("tree", {"max_depth": None})})])
+def test_forests_without_a_limit_of_depth_are_not_held_by_the_driver(spark, monkeypatch, kind, params):
+    """Grown here, subtrees in a table; a bagged tree uses its own half of the features."""
+    monkeypatch.setattr(T.Growth, "__init__", _small_nodes(T.Growth.__init__))
+    rows = sample(200, 6)
+    model = M.fit(kind, frame(spark, rows), params, NAMES, seed=3)
+    assert isinstance(model, T.Trees)
+    used = {}
+    for r in model.nodes.where("feature is not null").collect():
+        used.setdefault(r.tree, set()).add(r.feature)
+    assert set(used) == {0, 1, 2} and (kind == "forest" or all(len(f) <= 2 for f in used.values()))
+    scored = model.scores(frame(spark, rows)).collect()
+    assert len(scored) == 200 and all(0 <= r.score <= 1 for r in scored)
+
+
+def _small_nodes(made):
+    def init(self, *args, **named):
+        made(self, *args, **{**named, "local_rows": 30})
+
+    return init
