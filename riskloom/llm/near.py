@@ -1,10 +1,14 @@
-"""Near copies at a stated similarity, by wide SimHash fingerprints.
+"""Near copies at a stated similarity: wide SimHash first, then an exact join for what it leaves.
 
-Two texts whose shingle sets have similarity s (shared over all) differ in a share of about
+Linked are texts whose sets of shingles have similarity s (shared over all) or more; every
+link is checked on the sets themselves. Texts with equal sets are one node.
+
+Wide SimHash finds most of the links. Two such texts differ in a share of about
 p = acos(2 s / (1 + s)) / pi of their SimHash bits; at 0.8 that is 0.15. 64 bits tell such
 pairs badly from others, so a fingerprint here has ``WORDS`` words of 64 bits: the first one
-is the plain SimHash, the others mix each shingle's hash anew. Two link if all words together
-differ in at most that share of bits (similarity is told with a standard error of 0.03).
+is the plain SimHash, the others mix each shingle's hash anew. Pairs whose words together
+differ in at most that share of bits (similarity is told with a standard error of 0.03) go
+to the check.
 
 The words form a ring of segments. A chain of two segments, next to each other or some steps
 apart around the ring, that are both equal makes a bucket. Within so wide a distance the
@@ -20,8 +24,18 @@ chosen by hash; those that link to one leave, the rest meets four times as many
 round, until none is left. A member that left is not compared with the rest of this bucket.
 Small buckets then check only pairs that these links leave in different components.
 
-Equal first words are one node. Texts without words share fingerprint zero; a null text
-counts as empty; fewer words than a shingle has make one shingle.
+What these steps miss is found without chance. With all shingles in one order, a set's
+prefix is as many of its first ones as it may lose, and one more: two sets that link share a
+shingle of their prefixes. Sets in different components that do, and whose places in
+the prefixes leave room for enough more, are candidates. The order puts shingles that are frequent in a
+share of the rows last; it decides how many pairs are candidates, never which ones link.
+
+Before sets are fetched for the check, their parities are compared: ``WORDS`` words in which each
+shingle flips one bit. A shingle that only one set has changes one bit at most, so sets whose
+parities differ in more bits than linked sets may differ in shingles do not link.
+
+Texts without words have the empty set in common; a null text counts as empty; fewer words
+than a shingle has make one shingle.
 """
 
 from __future__ import annotations
@@ -30,15 +44,17 @@ import functools
 import math
 import sys
 from collections.abc import Iterator
+from fractions import Fraction
 from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
 from pyspark import cloudpickle
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from xxhash import xxh64_intdigest
 
-from riskloom.llm.common import fresh_worker, quoted, scratch, text_of
+from riskloom.llm.common import Scope, fresh_worker, quoted, scratch, text_of
 from riskloom.llm.simhash import components, keep_one, number_rows, row_at, shingle_hashes
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -51,6 +67,8 @@ SHARED = 1.15
 SMALL = 8
 # Pivots of a large bucket in the first round.
 PIVOTS = 4
+# One row in so many tells which shingles are frequent: those that often among them, the first so many.
+ORDER_SHARE, ORDER_LEAST, ORDER_MOST = 32, 3, 1 << 17
 
 
 class Shape(NamedTuple):
@@ -83,7 +101,10 @@ def _mixed(hashes: np.ndarray, words: int = WORDS) -> np.ndarray:
 
 def wide_fingerprint(text: bytes, words: int = 5, seed: int = 42) -> np.ndarray:
     """``WORDS`` unsigned 64-bit words of majority bits; zeros without words in the text."""
-    hashes = np.array(shingle_hashes(text, words, seed), np.uint64)
+    return _wide(np.array(shingle_hashes(text, words, seed), np.uint64))
+
+
+def _wide(hashes: np.ndarray) -> np.ndarray:
     totals = np.zeros(64 * WORDS, np.int64)
     # sums of 255 bits fit a byte
     for at in range(0, len(hashes), 255):
@@ -92,20 +113,132 @@ def wide_fingerprint(text: bytes, words: int = 5, seed: int = 42) -> np.ndarray:
     return np.packbits(totals * 2 > len(hashes)).view(">u8").astype(np.uint64)
 
 
-def wide_fingerprints(docs: DataFrame, key: str, text: str, words: int = 5, seed: int = 42) -> DataFrame:
-    """(id, wide array of bigint) of every row."""
+def _list(parts: list[np.ndarray]) -> pa.ListArray:
+    """Lists of bigint out of unsigned arrays."""
+    flat = np.concatenate(parts).view(np.int64) if parts else np.zeros(0, np.int64)
+    ends = np.cumsum([0] + [len(x) for x in parts]).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))
+
+
+def _ratio(similarity: float) -> Fraction:
+    """The similarity as it is written: 0.8 is 4/5."""
+    return Fraction(str(similarity))
+
+
+def enough(shared: Column, sizes: Column, similarity: float) -> Column:
+    """``shared`` over all is the similarity or more, in whole numbers; ``sizes`` is the sum of both sets' sizes."""
+    s = _ratio(similarity)
+    return shared * F.lit(s.numerator + s.denominator) >= sizes * F.lit(s.numerator)
+
+
+def frequent(docs: DataFrame, key: str, text: str, words: int = 5, seed: int = 42) -> tuple[np.ndarray, np.ndarray]:
+    """(hashes, counts) of shingles that are frequent in a share of the rows, by hash."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        fresh_worker()
+        for batch in batches:
+            for t in batch.column("text").cast(pa.binary()):
+                found = np.unique(np.array(shingle_hashes(t.as_py(), words, seed), np.uint64))
+                yield pa.RecordBatch.from_arrays([pa.array(found.view(np.int64))], names=["h"])
+
+    some = docs.where(F.pmod(F.xxhash64(F.col(quoted(key))), F.lit(ORDER_SHARE)) == 0).select(text_of(text).alias("text"))
+    counts = some.mapInArrow(run, "h bigint").groupBy("h").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= ORDER_LEAST)
+    top = counts.orderBy(F.desc("n"), "h").limit(ORDER_MOST).collect()
+    hashes = np.array([r["h"] for r in top], np.int64).view(np.uint64)
+    by = np.argsort(hashes)
+    return hashes[by], np.array([r["n"] for r in top], np.int64)[by]
+
+
+def _parity(found: np.ndarray) -> np.ndarray:
+    """Which bits the shingles of a set flip an odd number of times."""
+    odd = np.bincount((found % np.uint64(64 * WORDS)).astype(np.int64), minlength=64 * WORDS) % 2
+    return np.packbits(odd.astype(bool)).view(">u8").astype(np.uint64)
+
+
+def _prefix(found: np.ndarray, last: tuple[np.ndarray, np.ndarray], s: Fraction) -> np.ndarray:
+    """The first shingles of a set, rare ones first: one of them is in every set that links."""
+    if not len(found):
+        return found
+    hashes, counts = last
+    often = np.zeros(len(found), np.int64)
+    if len(hashes):
+        at = np.minimum(np.searchsorted(hashes, found), len(hashes) - 1)
+        often = np.where(hashes[at] == found, counts[at], 0)
+    keep = len(found) - -(-len(found) * s.numerator // s.denominator) + 1
+    return found[np.lexsort((found, often))[:keep]]
+
+
+def sketches(docs: DataFrame, key: str, text: str, last: tuple[np.ndarray, np.ndarray], similarity: float, words: int = 5, seed: int = 42) -> DataFrame:
+    """(id, set, size, wide, parity, prefix) of every row; ``set`` is a hash of its set of shingles."""
     kind = docs.schema[key].dataType.simpleString()
+    s = _ratio(similarity)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fresh_worker()
         for batch in batches:
-            texts = batch.column("text").cast(pa.binary())
-            made = [wide_fingerprint(t.as_py(), words, seed) for t in texts]
-            flat = np.concatenate(made).view(np.int64) if made else np.zeros(0, np.int64)
-            lists = pa.ListArray.from_arrays(pa.array(np.arange(len(made) + 1, dtype=np.int32) * WORDS), pa.array(flat))
-            yield pa.RecordBatch.from_arrays([batch.column("id"), lists], names=["id", "wide"])
+            names, sizes, wides, odd, firsts = [], [], [], [], []
+            for t in batch.column("text").cast(pa.binary()):
+                hashes = np.array(shingle_hashes(t.as_py(), words, seed), np.uint64)
+                found = np.unique(hashes)
+                names.append(xxh64_intdigest(found.tobytes(), seed))
+                sizes.append(len(found))
+                wides.append(_wide(hashes))
+                odd.append(_parity(found))
+                firsts.append(_prefix(found, last, s))
+            named = pa.array(np.array(names, np.uint64).view(np.int64))
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("id"), named, pa.array(sizes, pa.int64()), _list(wides), _list(odd), _list(firsts)],
+                names=["id", "set", "size", "wide", "parity", "prefix"],
+            )
+
+    made = docs.select(F.col(quoted(key)).alias("id"), text_of(text).alias("text"))
+    return made.mapInArrow(run, f"id {kind}, set bigint, size bigint, wide array<bigint>, parity array<bigint>, prefix array<bigint>")
+
+
+def checked(pairs: DataFrame, nodes: DataFrame, texts: DataFrame, similarity: float, words: int = 5, seed: int = 42) -> DataFrame:
+    """The pairs (a, b) of ``nodes`` (node, size, parity) whose ``texts`` (place, text) share enough shingles."""
 
-    return docs.select(F.col(quoted(key)).alias("id"), text_of(text).alias("text")).mapInArrow(run, f"id {kind}, wide array<bigint>")
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        fresh_worker()
+        for batch in batches:
+            found = [np.unique(np.array(shingle_hashes(t.as_py(), words, seed), np.uint64)) for t in batch.column("text").cast(pa.binary())]
+            yield pa.RecordBatch.from_arrays([batch.column("place"), _list(found)], names=["place", "all"])
+
+    told = pairs.join(nodes.select(F.col("node").alias("a"), F.col("size").alias("size_a"), F.col("parity").alias("parity_a")), "a")
+    told = told.join(nodes.select(F.col("node").alias("b"), F.col("size").alias("size_b"), F.col("parity").alias("parity_b")), "b")
+    both = F.col("size_a") + F.col("size_b")
+    # the most that they can share: what is not shared is at least the bits that differ
+    room = (both - _differing("parity_a", "parity_b")) / F.lit(2)
+    told = scratch(told.where(enough(room, both, similarity)).select("a", "b"), "told")
+
+    asked = told.select(F.explode(F.array("a", "b")).alias("place")).distinct()
+    sets = scratch(texts.join(asked, "place").select("place", text_of("text").alias("text")).mapInArrow(run, "place bigint, all array<bigint>"), "sets")
+    whole = told.join(sets.select(F.col("place").alias("a"), F.col("all").alias("all_a")), "a")
+    whole = whole.join(sets.select(F.col("place").alias("b"), F.col("all").alias("all_b")), "b")
+    shared = F.size(F.array_intersect("all_a", "all_b"))
+    return whole.where(enough(shared, F.size("all_a") + F.size("all_b"), similarity)).select("a", "b")
+
+
+def left_over(nodes: DataFrame, similarity: float) -> DataFrame:
+    """(a, b): ``nodes`` (node, root or null for itself, size, prefix) with different roots that may link, each pair once."""
+    keyed = nodes.select("node", "root", "size", F.posexplode("prefix").alias("at", "k"))
+    # a set goes on to share at most what follows this place, itself included
+    member = F.struct("node", "size", (F.col("size") - F.col("at")).alias("room"))
+    cells = keyed.repartition("k").groupBy("k", F.coalesce("root", "node").alias("root"))
+    cells = cells.agg(F.collect_list(member).alias("all"), F.min("size").alias("least"), F.max("size").alias("most"))
+    # most shingles are those of one root only
+    cells = cells.withColumn("roots", F.count(F.lit(1)).over(Window.partitionBy("k"))).where("roots > 1").drop("roots")
+    cells = scratch(cells, "cells")
+    s = _ratio(similarity)
+
+    def near(small: str, large: str) -> Column:
+        return F.col(small) * s.numerator <= F.col(large) * s.denominator
+
+    other = cells.select("k", *[F.col(c).alias(f"{c}_b") for c in ("root", "all", "least", "most")])
+    met = cells.join(other, "k").where((F.col("root") < F.col("root_b")) & near("least", "most_b") & near("least_b", "most"))
+    met = met.select(F.explode("all").alias("a"), "all_b").select("a", F.explode("all_b").alias("b"))
+    met = met.where(enough(F.least("a.room", "b.room"), F.col("a.size") + F.col("b.size"), similarity))
+    return met.select(F.least("a.node", "b.node").alias("a"), F.greatest("a.node", "b.node").alias("b")).distinct()
 
 
 def _differing(a: str, b: str) -> Column:
@@ -172,7 +305,27 @@ def keep_first(
     """
     rows, place = number_rows(docs)
     form = shape(rows.count(), similarity, recall)
-    made = wide_fingerprints(rows.select(row_at(place, key), F.col(quoted(text)).alias("text")), "at", "text", words, seed)
-    made = scratch(made.select("id.place", "id.id", F.col("wide")[0].alias("fp"), "wide"), "fingerprints")
-    nodes = scratch(made.groupBy("fp").agg(F.min("wide").alias("wide")), "wide")
-    return keep_one(rows, place, text, made.drop("wide"), lambda _: links(nodes, form))
+    plain = rows.select(row_at(place, key), F.col(place).alias("place"), F.col(quoted(text)).alias("text"))
+    last = frequent(plain, "place", "text", words, seed)
+    made = scratch(sketches(plain, "at", "text", last, similarity, words, seed).select("id.place", "id.id", "set", "size", "wide", "parity", "prefix"), "sketches")
+    # rows with equal sets are one node, the first of them by place
+    firsts = scratch(made.groupBy("set").agg(F.min("place").alias("node")), "firsts")
+    nodes = made.withColumnRenamed("place", "node").join(firsts.select("node"), "node", "left_semi")
+    texts = plain.select("place", "text")
+
+    with Scope(docs.sparkSession) as lookup:
+        named = scratch(nodes.groupBy(F.col("wide")[0].alias("fp")).agg(F.min(F.struct("wide", "node")).alias("one")).select("fp", "one.wide", "one.node"), "wide")
+        told = links(named.select("fp", "wide"), form)
+        told = told.join(named.select(F.col("fp").alias("a"), F.col("node").alias("node_a")), "a")
+        told = told.join(named.select(F.col("fp").alias("b"), F.col("node").alias("node_b")), "b").select(F.col("node_a").alias("a"), F.col("node_b").alias("b"))
+        found = checked(told, nodes, texts, similarity, words, seed)
+    first = scratch(found, "links")
+    lookup.remove()
+
+    with Scope(docs.sparkSession) as lookup:
+        rooted = components(first).select("node", "root")
+        rest = left_over(nodes.select("node", "size", "prefix").join(rooted, "node", "left"), similarity)
+        found = checked(rest, nodes, texts, similarity, words, seed)
+    every = scratch(first.unionByName(found), "links")
+    lookup.remove()
+    return keep_one(rows, place, text, made.join(firsts, "set").select("place", "id", F.col("node").alias("fp")), lambda _: every)

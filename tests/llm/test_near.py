@@ -93,3 +93,42 @@ def test_awkward_rows(spark):
     out = near.keep_first(clash)
     assert out.columns == clash.columns and [r.doc_id for r in out.collect()] == [1]
     assert near.keep_first(frame(spark, [])).count() == 0
+
+
+def test_no_pair_at_the_threshold_is_left_out_and_none_below_it_is_taken(spark):
+    # 96 shingles, and 24 or 25 more: similarity 0.8, or just below
+    rng = random.Random(6)
+    rows, alike = [], []
+    for i in range(200):
+        text = words_of(rng, 100)
+        rows += [(2 * i, " ".join(text)), (2 * i + 1, " ".join(text + words_of(rng, 24 + i % 2)))]
+        alike.append(similarity(rows[-2][1], rows[-1][1]) >= 0.8)
+    assert alike == [i % 2 == 0 for i in range(200)]
+    kept = {r.doc_id for r in near.keep_first(frame(spark, rows)).collect()}
+    assert kept == {2 * i for i in range(200)} | {2 * i + 1 for i in range(200) if not alike[i]}
+
+
+def test_components_are_those_of_all_pairs(spark):
+    # few words, so that shingles are frequent, sets small, and prefixes alike
+    rng = random.Random(7)
+    texts = [" ".join(rng.choices("abc", k=rng.randrange(0, 40))) for _ in range(250)]
+    for i in range(150):
+        words = texts[i].split()
+        for _ in range(rng.randrange(3)):
+            words.insert(rng.randrange(len(words) + 1), rng.choice("abc"))
+        texts.append(" ".join(words))
+    sets = [frozenset(simhash.shingle_hashes(t.encode(), 5)) for t in texts]
+    root = list(range(len(texts)))
+
+    def top(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for i, x in enumerate(sets):
+        for j in range(i):
+            if 9 * len(x & sets[j]) >= 4 * (len(x) + len(sets[j])):
+                a, b = sorted((top(i), top(j)))
+                root[b] = a
+    kept = sorted(r.doc_id for r in near.keep_first(frame(spark, list(enumerate(texts)))).collect())
+    assert kept == [i for i in range(len(texts)) if top(i) == i]
