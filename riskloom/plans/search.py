@@ -20,11 +20,12 @@ from pyspark.sql import functions as F
 from riskloom.operators import evaluate as E
 from riskloom.operators.clean import fit_median
 from riskloom.operators.features import Standardize
-from riskloom.operators.relational import lookup_rows, rank_results, value_combinations
+from riskloom.operators.relational import rank_results, value_combinations
 from riskloom.operators.split import bootstrap_time_cv, kfold_shuffled
 from riskloom.plans import models as M
 from riskloom.plans.newton import fit_linear
 from riskloom.plans.recipe import FeatureRecipe, feature_columns
+from riskloom.roles import quoted
 from riskloom.session import cut, fresh_path
 
 # Fits that run at the same time; each one is itself spread over the cluster.
@@ -131,6 +132,24 @@ def grid_search(
     return rank_results(_describe(metrics, cands, timings), criterion)
 
 
+def _with_draws(df: DataFrame, draws: DataFrame, key: str, replicates: int) -> DataFrame:
+    """Rows of ``df`` that were drawn, with all their draws: one join serves every split, which then reads its rows by a scan."""
+    slot = (F.col("fold") * replicates + F.col("replicate")).alias("slot")
+    mine = draws.groupBy(key).agg(F.collect_list(F.struct(slot, "role", "mult")).alias("_drawn"))
+    return cut(df.join(mine, key))
+
+
+def _drawn(wide: DataFrame, slot: int, role: str) -> DataFrame:
+    """Rows of one split with ``mult``, how often each was drawn."""
+    cells = F.filter("_drawn", lambda d: (d["slot"] == slot) & (d["role"] == role))
+    return wide.withColumn("_drawn", F.explode(cells)).select(*[F.col(quoted(c)) for c in wide.columns if c != "_drawn"], "_drawn.mult")
+
+
+def _copies(rows: DataFrame) -> DataFrame:
+    """A row as often as it was drawn."""
+    return rows.withColumn("mult", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("mult")))).drop("mult")
+
+
 def bootstrap_grid_search(
     df: DataFrame,
     time_col: str,
@@ -155,15 +174,14 @@ def bootstrap_grid_search(
     df = cut(df)
     timings: list[Timing] = []
     draws = cut(bootstrap_time_cv(df, time_col, folds, "row_id", pct, replicates, seed))
+    wide = _with_draws(df, draws, "row_id", replicates)
     for fold in range(len(folds)):
         for rep in range(replicates):
-            mine = draws.where((F.col("fold") == fold) & (F.col("replicate") == rep))
-            picks = mine.where("role = 'train'").select("row_id", "mult")
-            tests = mine.where("role = 'test'").select("row_id", "mult")
+            train, test = (_drawn(wide, fold * replicates + rep, role) for role in ("train", "test"))
             # statistics count a row as often as it was drawn; fits take that as a weight
             step = FeatureRecipe(**{**recipe.__dict__, "fills": None, "encoder": None})
-            step.fit(lookup_rows(df, picks, "row_id").drop("draw"))
-            train, test = step.transform(df.join(picks, "row_id")), step.transform(df.join(tests, "row_id"))
+            step.fit(_copies(train))
+            train, test = step.transform(train), step.transform(test)
             features = feature_columns(train, ["row_id", "label", "mult", time_col, *skip])
             timings += _predict_all(
                 path,
@@ -204,13 +222,13 @@ def linear_bootstrap_search(
     """
     df = cut(df)
     draws = cut(bootstrap_time_cv(df, time_col, folds, "row_id", pct, replicates, seed))
+    wide = _with_draws(df, draws, "row_id", replicates)
     frames = []
     for fold in range(len(folds)):
         for rep in range(replicates):
-            mine = draws.where((F.col("fold") == fold) & (F.col("replicate") == rep))
-            train, test = (df.join(mine.where(F.col("role") == r).select("row_id", "mult"), "row_id") for r in ("train", "test"))
+            train, test = (_drawn(wide, fold * replicates + rep, role) for role in ("train", "test"))
             step = FeatureRecipe(**{**recipe.__dict__, "fills": None, "encoder": None})
-            step.fit(lookup_rows(df, mine.where("role = 'train'").select("row_id", "mult"), "row_id").drop("draw"))
+            step.fit(_copies(train))
             frames.append((fold, rep, step.transform(train), step.transform(test)))
     outside = ["row_id", "label", "mult", time_col, *skip]
     features = list(dict.fromkeys(c for _, _, train, _ in frames for c in feature_columns(train, outside)))
