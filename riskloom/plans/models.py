@@ -35,6 +35,7 @@ from riskloom.operators.neighbors import neighbour_labels
 from riskloom.operators.split import bootstrap_groups
 from riskloom.plans.boost import fit_real_boost
 from riskloom.plans.newton import LinearFits, fit_linear
+from riskloom.plans.sparse import fit_sparse_logistic, one_place, wide_column
 from riskloom.plans.trees import Growth, Trees, grow, subset_size
 from riskloom.session import checkpoint, cut
 
@@ -424,7 +425,15 @@ def fit_predict(
     seed: int = 0,
 ) -> DataFrame:
     """(row_id, label, w, score, pred) of the test rows."""
-    model = fit(kind, placed(assemble(train, features)), params or {}, features, seed)
+    params = params or {}
+    wide = wide_column(train, features) if kind == "logistic" else None
+    if wide and one_place(train, wide) and one_place(test, wide):
+        # dense vectors as long as the categories, and a name for each place, would cost rows times categories
+        check_parameters(kind, params)
+        fitted = fit_sparse_logistic(train, features, params.get("C", 1.0), params.get("fit_intercept", True), params.get("max_iter", 100))
+        if fitted is not None:
+            return fitted.scores(test)
+    model = fit(kind, placed(assemble(train, features)), params, features, seed)
     return model.scores(assemble(test, features))
 
 
