@@ -328,7 +328,8 @@ def _fit_bagging(train: DataFrame, params: dict[str, Any], rows: float, width: i
         columns = {i: tuple(sorted(sorted(range(width), key=lambda j: _mix(seed, i, j))[:picked])) for i in range(count)}
         growth = Growth(None, base_params.get("criterion", "gini"), subset_size(base_params.get("max_features"), picked), seed=seed, columns=columns)
         return grow(train, [str(i) for i in range(width)], growth, count, _drawn(train, params.get("max_samples", 1.0), count, seed))
-    bag = placed(train.join(_drawn(train, params.get("max_samples", 1.0), count, seed), "row_id"))
+    # drawn and joined once: placing counts the rows before it deals them
+    bag = placed(cut(train.join(_drawn(train, params.get("max_samples", 1.0), count, seed), "row_id")))
     members = []
     for i in range(count):
         # a seeded choice of feature positions, kept in order
