@@ -40,3 +40,15 @@ def test_bagging_draws_once(spark, monkeypatch):
     assert len(M.fit("bagging", train, params, ["a", "b"], seed=1).members) == 2
     once = drawn(train, 0.5, 2, 1).count()
     assert runs.value == once
+
+
+def test_discrete_boosting_writes_and_predicts_no_more_than_it_reads(spark, monkeypatch):
+    rows = spark.range(400).select(F.col("id").alias("row_id"), (F.col("id") % 3 == 0).cast("int").alias("label"), (F.col("id") % 7).alias("a"), (F.col("id") % 5).alias("b"))
+    train = M.placed(M.assemble(rows, ["a", "b"]))
+    seen, checkpoint = [], M.checkpoint
+    monkeypatch.setattr(M, "checkpoint", lambda df: seen.append(df) or checkpoint(df))
+    fitted = M.fit("adaboost_discrete", train, {"n_estimators": M.CUT_EVERY, "learning_rate": 0.5}, ["a", "b"], seed=1)
+    # the table before the first round; nothing reads what the last one would write
+    assert len(seen) == 1 and len(fitted.members) == M.CUT_EVERY
+    made = set(fitted.members[0][1].transform(train).columns) - set(train.columns)
+    assert made == {"prediction"}
