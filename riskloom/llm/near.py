@@ -30,9 +30,14 @@ shingle of their prefixes. Sets in different components that do, and whose place
 the prefixes leave room for enough more, are candidates. The order puts shingles that are frequent in a
 share of the rows last; it decides how many pairs are candidates, never which ones link.
 
-Before sets are fetched for the check, their parities are compared: ``WORDS`` words in which each
-shingle flips one bit. A shingle that only one set has changes one bit at most, so sets whose
-parities differ in more bits than linked sets may differ in shingles do not link.
+Members of a shingle that have room for no set of the other component are left out before
+pairs are formed, so a large component meets a stray set with the few members that may link to it.
+
+Before sets are fetched for the check, their parities are compared: words in which each
+shingle flips one bit, with at least a bit for every shingle (in fewer, large sets would all seem
+near). A shingle that only one set has changes one bit at most, so sets whose
+parities differ in more bits than linked sets may differ in shingles do not link. Parities of
+different lengths are compared at the smaller one, to which the longer is folded.
 
 Texts without words have the empty set in common; a null text counts as empty; fewer words
 than a shingle has make one shingle.
@@ -150,8 +155,11 @@ def frequent(docs: DataFrame, key: str, text: str, words: int = 5, seed: int = 4
 
 
 def _parity(found: np.ndarray) -> np.ndarray:
-    """Which bits the shingles of a set flip an odd number of times."""
-    odd = np.bincount((found % np.uint64(64 * WORDS)).astype(np.int64), minlength=64 * WORDS) % 2
+    """Which bits the shingles of a set flip an odd number of times; ``WORDS`` words, doubled until no fewer bits than shingles."""
+    bits = 64 * WORDS
+    while bits < len(found):
+        bits *= 2
+    odd = np.bincount((found % np.uint64(bits)).astype(np.int64), minlength=bits) % 2
     return np.packbits(odd.astype(bool)).view(">u8").astype(np.uint64)
 
 
@@ -208,7 +216,7 @@ def checked(pairs: DataFrame, nodes: DataFrame, texts: DataFrame, similarity: fl
     told = told.join(nodes.select(F.col("node").alias("b"), F.col("size").alias("size_b"), F.col("parity").alias("parity_b")), "b")
     both = F.col("size_a") + F.col("size_b")
     # the most that they can share: what is not shared is at least the bits that differ
-    room = (both - _differing("parity_a", "parity_b")) / F.lit(2)
+    room = (both - _differing_parities("parity_a", "parity_b")) / F.lit(2)
     told = scratch(told.where(enough(room, both, similarity)).select("a", "b"), "told")
 
     asked = told.select(F.explode(F.array("a", "b")).alias("place")).distinct()
@@ -225,7 +233,8 @@ def left_over(nodes: DataFrame, similarity: float) -> DataFrame:
     # a set goes on to share at most what follows this place, itself included
     member = F.struct("node", "size", (F.col("size") - F.col("at")).alias("room"))
     cells = keyed.repartition("k").groupBy("k", F.coalesce("root", "node").alias("root"))
-    cells = cells.agg(F.collect_list(member).alias("all"), F.min("size").alias("least"), F.max("size").alias("most"))
+    room = F.max(F.col("size") - F.col("at")).alias("room")
+    cells = cells.agg(F.collect_list(member).alias("all"), F.min("size").alias("least"), F.max("size").alias("most"), room)
     # most shingles are those of one root only
     cells = cells.withColumn("roots", F.count(F.lit(1)).over(Window.partitionBy("k"))).where("roots > 1").drop("roots")
     cells = scratch(cells, "cells")
@@ -234,9 +243,18 @@ def left_over(nodes: DataFrame, similarity: float) -> DataFrame:
     def near(small: str, large: str) -> Column:
         return F.col(small) * s.numerator <= F.col(large) * s.denominator
 
-    other = cells.select("k", *[F.col(c).alias(f"{c}_b") for c in ("root", "all", "least", "most")])
+    def fitting(members: str, least: str) -> Column:
+        """Those with room enough for the smallest set of the other cell, or for none there."""
+        return F.filter(members, lambda x: enough(x["room"], x["size"] + F.col(least), similarity))
+
+    other = cells.select("k", *[F.col(c).alias(f"{c}_b") for c in ("root", "all", "least", "most", "room")])
     met = cells.join(other, "k").where((F.col("root") < F.col("root_b")) & near("least", "most_b") & near("least_b", "most"))
-    met = met.select(F.explode("all").alias("a"), "all_b").select("a", F.explode("all_b").alias("b"))
+    met = met.where(enough(F.least("room", "room_b"), F.col("least") + F.col("least_b"), similarity))
+    met = met.select(fitting("all", "least_b").alias("all"), fitting("all_b", "least").alias("all_b"))
+    # the shorter list first, so that the rows in between are no more than the pairs
+    fewer = F.size("all") <= F.size("all_b")
+    met = met.select(F.when(fewer, F.col("all")).otherwise(F.col("all_b")).alias("all"), F.when(fewer, F.col("all_b")).otherwise(F.col("all")).alias("all_b"))
+    met = met.where(F.size("all") > 0).select(F.explode("all").alias("a"), "all_b").select("a", F.explode("all_b").alias("b"))
     met = met.where(enough(F.least("a.room", "b.room"), F.col("a.size") + F.col("b.size"), similarity))
     return met.select(F.least("a.node", "b.node").alias("a"), F.greatest("a.node", "b.node").alias("b")).distinct()
 
@@ -246,6 +264,20 @@ def _differing(a: str, b: str) -> Column:
     return functools.reduce(Column.__add__, parts)
 
 
+def _differing_parities(a: str, b: str) -> Column:
+    """Bits that differ, at the length of the shorter one."""
+    words = F.least(F.size(a), F.size(b))
+
+    def folded(x: str) -> Column:
+        def word(i: Column) -> Column:
+            return F.aggregate(F.sequence(i, F.size(x) - 1, words), F.lit(0).cast("long"), lambda odd, j: odd.bitwiseXOR(F.get(F.col(x), j)))
+
+        return F.when(F.size(x) == words, F.col(x)).otherwise(F.transform(F.sequence(F.lit(0), words - 1), word))
+
+    apart = F.zip_with(folded(a), folded(b), lambda x, y: F.bit_count(x.bitwiseXOR(y)))
+    return F.aggregate(apart, F.lit(0), lambda total, n: total + n)
+
+
 def _buckets(wide: str, form: Shape) -> Column:
     """(chain, values of its two segments) of every chain, in one number each."""
     per = 64 // form.bits

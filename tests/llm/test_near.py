@@ -1,6 +1,7 @@
 import random
 
 import numpy as np
+from pyspark.sql import functions as F
 from riskloom.llm import near, simhash
 
 LETTERS = "abcdefghijklmnopqrstuvwxyz"
@@ -132,3 +133,59 @@ def test_all_pairs_leave_nothing_more_to_drop(spark):
                 root[b] = a
     kept = sorted(r.doc_id for r in near.keep_first(frame(spark, list(enumerate(texts)))).collect())
     assert set(kept) <= {i for i in range(len(texts)) if top(i) == i}
+
+
+def _generated(df):
+    """Rows that each Generate of a collected frame made."""
+    found = []
+
+    def walk(plan):
+        kind = plan.getClass().getSimpleName()
+        if kind == "AdaptiveSparkPlanExec":
+            return walk(plan.executedPlan())
+        if kind.endswith("QueryStageExec"):
+            return walk(plan.plan())
+        if kind == "GenerateExec":
+            found.append(plan.metrics().get("numOutputRows").get().value())
+        for i in range(plan.children().size()):
+            walk(plan.children().apply(i))
+
+    walk(df._jdf.queryExecution().executedPlan())
+    return found
+
+
+def test_a_stray_set_meets_only_members_with_room_for_it(spark):
+    # one component of 60 sets and 40 strays have shingle 7; in most of the component it stands so late that no stray may link
+    large = [(i, 0, 100, [1000 + 100 * i + j for j in range(15)] + [7]) for i in range(58)]
+    early = [(58 + i, 0, 100, [7]) for i in range(2)]
+    strays = [(100 + i, None, 100, [7, 90_000 + i]) for i in range(40)]
+    nodes = spark.createDataFrame([*large, *early, *strays], "node long, root long, size long, prefix array<long>")
+    pairs = near.left_over(nodes, 0.8)
+    found = {tuple(r) for r in pairs.collect()}
+    stray = {(100 + i, 100 + j) for i in range(40) for j in range(i + 1, 40)}
+    assert found == stray | {(58 + i, 100 + j) for i in range(2) for j in range(40)}
+    assert max(_generated(pairs)) <= len(found)
+
+
+def test_parities_tell_large_sets_apart(spark):
+    texts = [" ".join(f"{w}{i}" for i in range(4000)) for w in "ab"]
+    near_b = texts[1].replace("b100 ", "c ")
+    rows = [(i, t, np.unique(np.array(near.shingle_hashes(t.encode(), 5, 42), np.uint64))) for i, t in enumerate([*texts, near_b, " ".join(texts[1].split()[:3300])])]
+    nodes = spark.createDataFrame(
+        [(i, len(s), near._parity(s).view(np.int64).tolist()) for i, _, s in rows], "node long, size long, parity array<long>"
+    )
+    assert {len(near._parity(s)) for *_, s in rows} == {64}
+    pairs = nodes.select(F.col("node").alias("a"), "parity").crossJoin(nodes.select(F.col("node").alias("b"), F.col("parity").alias("other"))).where("a < b")
+    told = pairs.withColumn("d", near._differing_parities("parity", "other")).collect()
+    sets = {i: set(s.tolist()) for i, _, s in rows}
+    for r in told:
+        assert r["d"] <= len(sets[r["a"]] ^ sets[r["b"]])
+        # what may link: a ninth of both sizes
+        assert (r["d"] * 9 <= len(sets[r["a"]]) + len(sets[r["b"]])) == (0 not in (r["a"], r["b"]))
+    # a parity of half the length is the folded one
+    short = near._parity(np.array([3, 1024 + 3, 5], np.uint64)).view(np.int64).tolist()
+    wide = spark.createDataFrame([(short, short + [0] * 12 + [1] + [0] * 3)], "a array<long>, b array<long>")
+    assert wide.select(near._differing_parities("a", "b")).first()[0] == 1
+    texts_of = spark.createDataFrame([(i, t) for i, t, _ in rows], "place long, text string")
+    linked = near.checked(pairs.select("a", "b"), nodes, texts_of, 0.8)
+    assert {tuple(r) for r in linked.collect()} == {(a, b) for a in sets for b in sets if a < b and 9 * len(sets[a] & sets[b]) >= 4 * (len(sets[a]) + len(sets[b]))}
