@@ -32,7 +32,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from riskloom.operators.neighbors import neighbour_labels
-from riskloom.operators.split import bootstrap_groups
+from riskloom.operators.split import bootstrap_maps
 from riskloom.plans.boost import fit_real_boost
 from riskloom.plans.gradient import fit_gradient_boost, fits
 from riskloom.plans.newton import LinearFits, fit_linear
@@ -290,8 +290,7 @@ class FittedBoost:
 
 def _drawn(train: DataFrame, share: float, count: int, seed: int) -> DataFrame:
     """(row_id, drawn): how often each of ``count`` bootstrap samples drew a row, one join for all of them."""
-    draws = bootstrap_groups(train.select(F.lit("bag").alias("grp"), "row_id"), ["grp"], "row_id", share, count, seed)
-    return draws.groupBy("row_id").agg(F.map_from_entries(F.collect_list(F.struct("replicate", "mult"))).alias("drawn"))
+    return bootstrap_maps(train, "row_id", share, count, seed, "bag")
 
 
 def _fit_exact(kind: str, train: DataFrame, params: dict[str, Any], features: Sequence[str], seed: int):
